@@ -25,14 +25,18 @@ def payload_rows(
     A message that cannot be decoded has no fields, so it is dropped by the same test.
     """
     rest = [name for name in df.columns if name != column]
-    parsed = df.select(*rest, from_payload(F.col(column).cast("string"), schema).alias("_payload"))
-    return parsed.filter(F.col(f"_payload.`{required}`").isNotNull()).select(*rest, "_payload.*")
+    # A test on a generated column stays above the generator, so each message is parsed once; a
+    # test on a projected struct would be pushed below and parse it a second time.
+    parsed = from_payload(F.col(column).cast("string"), schema)
+    rows = df.select(*rest, F.inline_outer(F.array(parsed)))
+    return rows.filter(F.col(f"`{required}`").isNotNull())
 
 
 def payload_list(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """One row for each element of the JSON list held by each line; undecodable lines are skipped."""
     items = F.from_json(F.col(column), T.ArrayType(schema), {"mode": "PERMISSIVE"})
-    return df.select(F.explode(items).alias("_item")).filter("_item IS NOT NULL").select("_item.*")
+    rows = df.select(F.explode_outer(items).alias("_item"))
+    return rows.filter("_item IS NOT NULL").select("_item.*")
 
 
 def flat_columns(schema: T.StructType, prefix: tuple[str, ...] = ()) -> list[Column]:

@@ -11,7 +11,7 @@ NO_VALUE = ("", "nan", "null", "none")
 
 def present(text: Column) -> Column:
     """The text, or null where it spells a missing value (quote marks around it ignored)."""
-    bare = F.lower(F.regexp_replace(text, r'^[\s"]+|[\s"]+$', ""))
+    bare = F.lower(F.btrim(text, F.lit(' \t\n\r"')))
     return F.when(~bare.isin(*NO_VALUE), text)
 
 

@@ -29,14 +29,14 @@ def frequent_values(df: DataFrame, column: str, at_least: int) -> DataFrame:
 
 def keep_frequent(df: DataFrame, column: str, at_least: int, **sizes) -> DataFrame:
     """Rows whose value occurs often enough; rows with a null value are dropped."""
-    return join_many_to_one(
-        df, frequent_values(df, column, at_least), column, "left_semi", **sizes
-    )
+    kept = frequent_values(df, column, at_least)
+    return join_many_to_one(df, kept, column, "left_semi", derived=True, **sizes)
 
 
 def members(df: DataFrame, keys: DataFrame, column: str, **sizes) -> DataFrame:
     """Rows whose value is in a frame of keys, each row once."""
-    return join_many_to_one(df, keys.select(column).distinct(), column, "left_semi", **sizes)
+    unique = keys.select(column).distinct()
+    return join_many_to_one(df, unique, column, "left_semi", derived=True, **sizes)
 
 
 def frequent_item_stats(

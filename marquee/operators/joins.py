@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.session import materialize
+
 # A dimension is broadcast only if its measured size is at most this many bytes.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Rows of one key that one task may take; keys with more are split.
@@ -39,6 +41,7 @@ def join_many_to_one(
     key: str | Sequence[str],
     how: str = "inner",
     *,
+    derived: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
@@ -47,8 +50,13 @@ def join_many_to_one(
     A measured small side is broadcast. Otherwise both sides are shuffled, and keys with more than
     `piece_rows` rows are cut into pieces: their rows are spread over the pieces and the matching
     row of `one` is repeated once for each.
+
+    `derived` says that `one` is the result of an aggregate or join: it is written once, instead
+    of being computed for the measurement and again for the join.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if derived:
+        one = materialize(one, "one")
     if measured_bytes(one) <= broadcast_bytes:
         return many.join(F.broadcast(one), keys, how)
     return split_join(many, one, keys, how, piece_rows)
@@ -95,4 +103,4 @@ def lookup(
 ) -> DataFrame:
     """Add the columns of the first matching dimension row; facts without a match are dropped."""
     one = first_per_key(dimension, key, order, columns)
-    return join_many_to_one(facts, one, key, "inner", **sizes)
+    return join_many_to_one(facts, one, key, "inner", derived=True, **sizes)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -91,40 +92,52 @@ def choose(name: str) -> tuple[str, Callable, type]:
     return MODELS[name]
 
 
-def text_stages(column: str, buckets: int = TERM_BUCKETS) -> list:
-    """Words, hashed term counts, counts weighted by rarity."""
-    return [
-        Tokenizer(inputCol=column, outputCol=f"{column}_words"),
-        HashingTF(inputCol=f"{column}_words", outputCol=f"{column}_counts", numFeatures=buckets),
-        IDF(inputCol=f"{column}_counts", outputCol=f"{column}_features"),
+def text_stages(columns: Sequence[str], output: str, buckets: int = TERM_BUCKETS) -> list:
+    """Words and hashed term counts of each column; all counts are weighted by rarity together,
+    which gives the same weights as one weighting for each column but reads the rows once."""
+    stages: list = []
+    for c in columns:
+        stages.append(Tokenizer(inputCol=c, outputCol=f"{c}_words"))
+        stages.append(
+            HashingTF(inputCol=f"{c}_words", outputCol=f"{c}_counts", numFeatures=buckets)
+        )
+    counts = [f"{c}_counts" for c in columns]
+    return stages + [
+        VectorAssembler(inputCols=counts, outputCol=f"{output}_counts"),
+        IDF(inputCol=f"{output}_counts", outputCol=output),
     ]
 
 
-def numeric_stages(column: str) -> list:
-    """A one-element vector, scaled to [0, 1]; rows without a value are skipped."""
+def numeric_stages(columns: Sequence[str], output: str) -> list:
+    """The columns as a vector, each scaled to [0, 1]; rows with a missing value are skipped."""
+    raw = f"{output}_raw"
     return [
-        VectorAssembler(inputCols=[column], outputCol=f"{column}_vector", handleInvalid="skip"),
-        MinMaxScaler(inputCol=f"{column}_vector", outputCol=f"{column}_scaled"),
+        VectorAssembler(inputCols=list(columns), outputCol=raw, handleInvalid="skip"),
+        MinMaxScaler(inputCol=raw, outputCol=output),
     ]
 
 
-def category_stages(column: str) -> list:
+def category_stages(columns: Sequence[str], output: str) -> list:
+    numbers = [f"{c}_number" for c in columns]
+    encoded = [f"{c}_encoded" for c in columns]
     return [
-        StringIndexer(inputCol=column, outputCol=f"{column}_number", handleInvalid="keep"),
-        OneHotEncoder(inputCol=f"{column}_number", outputCol=f"{column}_encoded"),
+        StringIndexer(inputCols=list(columns), outputCols=numbers, handleInvalid="keep"),
+        OneHotEncoder(inputCols=numbers, outputCols=encoded),
+        VectorAssembler(inputCols=encoded, outputCol=output),
     ]
 
 
 def feature_pipeline(settings: Settings) -> Pipeline:
+    """Text features, then numbers, then categories, in one vector."""
     stages, inputs = [], []
-    for make, suffix, columns in (
-        (text_stages, "features", settings.text),
-        (numeric_stages, "scaled", settings.numeric),
-        (category_stages, "encoded", settings.category),
+    for make, output, columns in (
+        (text_stages, "text_features", settings.text),
+        (numeric_stages, "number_features", settings.numeric),
+        (category_stages, "category_features", settings.category),
     ):
-        for column in columns:
-            stages += make(column)
-            inputs.append(f"{column}_{suffix}")
+        if columns:
+            stages += make(columns, output)
+            inputs.append(output)
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
 
 
@@ -138,8 +151,10 @@ def check_categories(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def prepare(df: DataFrame, fill: dict[str, float], settings: Settings) -> DataFrame:
-    """Fill numbers with the fitted values and missing text with the empty string."""
-    return apply_fill(df, fill).fillna("", subset=[*settings.text, *settings.category])
+    """Fill numbers with the fitted values and missing text with the empty string. An empty
+    category counts as missing; missing ones share the encoder's bucket for unseen values."""
+    known = {c: F.when(F.col(c) != "", F.col(c)) for c in settings.category}
+    return apply_fill(df, fill).fillna("", subset=list(settings.text)).withColumns(known)
 
 
 def fit_features(df: DataFrame, settings: Settings) -> tuple[dict[str, float], PipelineModel]:
@@ -151,10 +166,16 @@ def fit_features(df: DataFrame, settings: Settings) -> tuple[dict[str, float], P
 def fit(df: DataFrame, name: str, settings: Settings = Settings()) -> Fitted:
     """Fit features and model on the rows that have a label."""
     _, make, _ = choose(name)
-    rows = df.dropna(subset=[settings.label])
-    fill, features = fit_features(rows, settings)
-    train = features.transform(prepare(rows, fill, settings))
-    return Fitted(fill, features, make(settings).fit(train.select("features", settings.label)))
+    used = [*settings.text, *settings.numeric, *settings.category, settings.label]
+    # Every stage that is fitted reads the rows once more.
+    rows = df.select(*used).dropna(subset=[settings.label]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fill, features = fit_features(rows, settings)
+        vectors = features.transform(prepare(rows, fill, settings))
+        model = make(settings).fit(vectors.select("features", settings.label))
+    finally:
+        rows.unpersist()
+    return Fitted(fill, features, model)
 
 
 def score(df: DataFrame, fitted: Fitted, settings: Settings = Settings()) -> DataFrame:

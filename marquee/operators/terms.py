@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.text import words
 from marquee.operators.joins import join_many_to_one
+from marquee.session import materialize
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -18,12 +19,13 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 def tf_idf(df: DataFrame, key: str, text: str, **sizes) -> DataFrame:
     """(key, term, tf, df, tfidf) with idf = ln((texts + 1) / (texts with the term + 1)).
 
-    `key` must be unique. Common terms are in most texts, so the join with the document counts
-    goes through the measured, splitting join.
+    `key` must be unique. The texts are split into words once; the counts are written and read
+    for both sides of the join. Common terms are in most texts, so that join is the one that splits
+    frequent keys.
     """
     texts = df.count()
-    tf = term_counts(df, key, text)
+    tf = materialize(term_counts(df, key, text), "terms")
     seen = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = join_many_to_one(tf, seen, "term", "inner", **sizes)
+    joined = join_many_to_one(tf, seen, "term", "inner", derived=True, **sizes)
     idf = F.log((F.lit(texts) + 1.0) / (F.col("df") + 1.0))
     return joined.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from marquee.functions import records, text, values
 from marquee.operators import terms
 from marquee.plans.registry import query, table
+from marquee.sources.tables import spread
 
 
 @query(
@@ -154,9 +155,13 @@ _WORDS_SQL = r"""
 """
 
 
+def _texts(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query("tokens", f"SELECT doc_id, term, count(*) AS tf FROM ({_WORDS_SQL}) GROUP BY doc_id, term")
 def tokens(spark, sf_dir):
-    return terms.term_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return terms.term_counts(_texts(spark, sf_dir), "doc_id", "text")
 
 
 @query(
@@ -170,5 +175,5 @@ def tokens(spark, sf_dir):
     """,
 )
 def tfidf(spark, sf_dir):
-    found = terms.tf_idf(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = terms.tf_idf(_texts(spark, sf_dir), "doc_id", "text")
     return found.withColumn("tfidf", F.round("tfidf", 6))

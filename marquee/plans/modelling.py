@@ -16,6 +16,7 @@ from marquee.plans.views import distinct_ratings
 from marquee.schemas import PRODUCT_NUMERIC
 from marquee.session import scratch_path
 from marquee.sources import sinks
+from marquee.sources.tables import spread
 
 RATED = recommend.Settings(user="user_id", item="item_id")
 
@@ -30,8 +31,8 @@ RATED = recommend.Settings(user="user_id", item="item_id")
 )
 def min_max(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    fitted = Pipeline(stages=regression.numeric_stages("c_acctbal")).fit(rows)
-    scaled = vector_to_array("c_acctbal_scaled").getItem(0)
+    fitted = Pipeline(stages=regression.numeric_stages(["c_acctbal"], "scaled")).fit(rows)
+    scaled = vector_to_array("scaled").getItem(0)
     return fitted.transform(rows).select("c_custkey", F.round(scaled, 9).alias("scaled"))
 
 
@@ -97,7 +98,7 @@ def als_metrics(spark, sf_dir):
 
 def _products(spark, sf_dir) -> DataFrame:
     """Parts as the product table: all text, then renamed and cast."""
-    rows = table(spark, sf_dir, "part").select(
+    rows = spread(table(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_type").alias("main_category"),
         F.col("p_name").alias("title"),
         (F.col("p_partkey") % 9 / 2 + 1).cast("string").alias("average_rating"),
@@ -150,8 +151,9 @@ def regression_run_metrics(spark, sf_dir):
 @query("hashed_tfidf")
 def hashed_tfidf(spark, sf_dir):
     """Hashed term weights of every text; one row for each text and non-zero bucket count."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    fitted = Pipeline(stages=regression.text_stages("text")).fit(docs)
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = docs.fillna("", subset=["text"])
+    fitted = Pipeline(stages=regression.text_stages(["text"], "text_features")).fit(docs)
     weights = vector_to_array("text_features")
     return fitted.transform(docs).select(
         "doc_id",

@@ -283,7 +283,7 @@ def topk_per_user(spark, sf_dir):
 def _item_mean_predictions(spark, sf_dir):
     rated = ratings(spark, sf_dir)
     means = rated.groupBy("item_id").agg(F.mean("rating").alias("prediction"))
-    return joins.join_many_to_one(rated, means, "item_id")
+    return joins.join_many_to_one(rated, means, "item_id", derived=True)
 
 
 _ITEM_MEAN_ERRORS = f"""

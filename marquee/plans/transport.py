@@ -15,6 +15,7 @@ from marquee.plans.registry import query, table
 from marquee.schemas import REVIEW, UNIFIED_REVIEW
 from marquee.session import scratch_path
 from marquee.sources import files, lines, sinks
+from marquee.sources.tables import spread
 from marquee.streaming import feeds, runs, topics
 
 # Rows that one JSON array file should hold at most, as one task reads it.
@@ -23,7 +24,7 @@ ROWS_PER_DOCUMENT = 200_000
 
 def _reviews(spark, sf_dir) -> DataFrame:
     """One cleaned review for each event. Error events have no rating, as scraped rows may not."""
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         F.concat(F.lit("rw"), "event_id").alias("review_id"),
         F.concat(F.lit('The "'), "event_type", F.lit('", part '), "user_id").alias("movie"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("rating"),
@@ -155,7 +156,7 @@ _FEEDS_SQL = f"""
 
 
 def _feed_rows(spark, sf_dir) -> dict[str, DataFrame]:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     raw = orders.select(
         F.concat(F.lit("o"), "o_orderkey").alias("review_id"),
         F.concat(F.lit("c"), "o_custkey").alias("reviewer"),
@@ -167,7 +168,8 @@ def _feed_rows(spark, sf_dir) -> dict[str, DataFrame]:
         F.lit(0).alias("spoiler_tag"),
     )
     score = F.ceil(F.col("l_quantity") / 5).cast("double")
-    site = table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem")
+    site = spread(items, "l_orderkey", "l_linenumber").select(
         F.concat(F.lit("l"), "l_orderkey", F.lit("-"), "l_linenumber").alias("reviewId"),
         F.concat(F.lit("s"), "l_suppkey").alias("userId"),
         F.concat(F.lit("p"), "l_partkey").alias("movieId"),

@@ -13,7 +13,7 @@ from marquee.functions import records
 # Quotes are doubled inside quoted fields, as common CSV writers do; Spark's default escape is a
 # backslash, which misreads such titles.
 _CSV = {"header": "true", "escape": '"', "quote": '"'}
-# Blanks around a value are part of it, and an empty string is not a null.
+# Blanks around a value are part of it. An empty string is read back as null.
 _CSV_WRITE = {**_CSV, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 

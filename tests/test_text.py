@@ -1,0 +1,55 @@
+import pytest
+from conftest import SF_DIR
+from pyspark.ml.feature import Tokenizer
+from pyspark.sql import functions as F
+
+from marquee.functions import text
+
+TITLES = [
+    ("After Life (2019– )", "After Life", "2019"),
+    ("The Valhalla Murders: Episode #1.1 (2019)", "The Valhalla Murders", "2019"),
+    ("Kill Bill: Vol. 1 (2003)", "Kill Bill", "2003"),
+    ("Closure (I) (2018)", "Closure (I)", "2018"),
+    ("This Is Us (2016–2022)", "This Is Us", "2016"),
+    ("Show: Ep (1999) (2001–2005)", "Show", "2001"),
+    ("x (2001) y (2002)", "x", "2001"),
+    (":(1990)", "", "1990"),
+    ("No Year", "No Year", None),
+    ("Foo (II) (2010 Video)", "Foo (II) (2010 Video)", None),
+    ("\tTabbed\t (1999)", "Tabbed", "1999"),
+    ("Wide (1999)", "Wide", "1999"),
+    ("  kept as it is  ", "  kept as it is  ", None),
+]
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_titles(spark, keep):
+    df = spark.createDataFrame([(t,) for t, _, _ in TITLES] + [(None,)], "t string")
+    title, year = text.title_parts(F.col("t"), keep_subtitle=keep)
+    got = [tuple(r) for r in df.select("t", title, year).collect()]
+    if keep:
+        assert ("Kill Bill: Vol. 1 (2003)", "Kill Bill: Vol. 1", "2003") in got
+        assert ("x (2001) y (2002)", "x", "2001") in got
+    else:
+        assert got == [*TITLES, (None, None, None)]
+
+
+def test_strip_takes_what_python_takes(spark):
+    samples = [" a ", "\t\na b\r\n", " x ", "", "   ", "\x1fy\x1c"]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = [r[0] for r in df.select(text.strip(F.col("s"))).collect()]
+    assert got == [s.strip() for s in samples]
+
+
+def test_words_equal_the_tokenizer(spark):
+    edge = ["", " ", " \t\n", "a", " a", "a ", "a  b", "A\tB\n", "İ ß", "x   y", "end\x0b"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text")
+    df = docs.union(spark.createDataFrame([(e,) for e in edge], "text string"))
+    both = Tokenizer(inputCol="text", outputCol="w").transform(df)
+    assert both.filter(~F.col("w").eqNullSafe(text.words(F.col("text")))).count() == 0
+
+
+def test_null_text_has_one_empty_word_and_no_bytes(spark):
+    df = spark.createDataFrame([(None,), ("é",)], "t string")
+    got = df.select(text.words(F.col("t")), text.byte_length(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [([""], 0), (["é"], 2)]
