@@ -18,21 +18,29 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 PIECE_ROWS = 4_000_000
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Uncompressed size of the rows, counted in one pass over the frame."""
+def fits(df: DataFrame, limit: int) -> bool:
+    """Whether the rows, uncompressed, take at most `limit` bytes.
+
+    Rows are counted first, which stored tables answer from their footers; the texts are measured
+    only where the number of rows leaves the question open.
+    """
+    per_row = 16 * (len(df.columns) + 1)
+    if df.count() * per_row > limit:
+        return False
+    texts = [size for field in df.schema.fields if (size := _text_size(field)) is not None]
+    if not texts:
+        return True
+    total = sum(texts, F.lit(per_row)).cast("bigint")
+    return (df.agg(F.sum(total).alias("bytes")).collect()[0].bytes or 0) <= limit
 
-    def width(field: T.StructField) -> Column:
-        name = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(name), F.lit(0)) + 16
-        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            return F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) + 16
-        return F.lit(16)
 
-    fixed = 16
-    sizes = [width(field) for field in df.schema.fields]
-    total = sum(sizes, F.lit(fixed)).cast("bigint")
-    return df.agg(F.sum(total).alias("bytes")).collect()[0].bytes or 0
+def _text_size(field: T.StructField) -> Column | None:
+    name = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(name), F.lit(0))
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
+    return None
 
 
 def join_many_to_one(
@@ -57,7 +65,7 @@ def join_many_to_one(
     keys = [key] if isinstance(key, str) else list(key)
     if derived:
         one = materialize(one, "one")
-    if measured_bytes(one) <= broadcast_bytes:
+    if fits(one, broadcast_bytes):
         return many.join(F.broadcast(one), keys, how)
     return split_join(many, one, keys, how, piece_rows)
 

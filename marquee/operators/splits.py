@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.ordering import ordered_prefix
-from marquee.operators.sets import difference
+from marquee.operators.ordering import cut_value
 
 
 def in_train(*key: str, percent: int = 80, seed: int = 42) -> Column:
@@ -38,7 +37,14 @@ def random_split(
 def prefix_split(
     df: DataFrame, order: str, fraction: float = 0.8, **steps
 ) -> tuple[DataFrame, DataFrame]:
-    """The first int(rows * fraction) rows by a unique number, and the others without copies."""
+    """The first int(rows * fraction) rows by a unique number, and all the others.
+
+    Because the number is unique, the others are the set difference of the two frames; both parts
+    are filters.
+    """
     n = int(df.count() * fraction)
-    train = ordered_prefix(df, order, n, **steps)
-    return train, difference(df, train)
+    cut = cut_value(df.filter(F.col(order).isNotNull()), order, F.lit(1), n, **steps)
+    if cut is None:
+        return df.filter(F.lit(False)), df
+    in_prefix = F.coalesce(F.col(order) <= F.lit(cut), F.lit(False))
+    return df.filter(in_prefix), df.filter(~in_prefix)

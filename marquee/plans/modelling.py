@@ -14,7 +14,7 @@ from marquee.plans.registry import query, table
 from marquee.plans.selection import _ITEM_MEAN_ERRORS, _item_mean_predictions
 from marquee.plans.views import distinct_ratings
 from marquee.schemas import PRODUCT_NUMERIC
-from marquee.session import scratch_path
+from marquee.session import materialize, scratch_path
 from marquee.sources import sinks
 from marquee.sources.tables import spread
 
@@ -67,8 +67,10 @@ def metrics_log(spark, sf_dir):
 
 
 def _split_ratings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Held-out rows are chosen by (user, item), so users and items occur on both sides."""
-    return splits.hash_split(distinct_ratings(spark, sf_dir), "user_id", "item_id")
+    """Held-out rows are chosen by (user, item), so users and items occur on both sides. The
+    ratings are put together once for both parts."""
+    rated = materialize(distinct_ratings(spark, sf_dir), "ratings")
+    return splits.hash_split(rated, "user_id", "item_id")
 
 
 @query("als_predict")

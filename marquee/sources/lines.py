@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.text import byte_length
@@ -10,16 +10,26 @@ from marquee.functions.text import byte_length
 POSITION = ("file", "block", "seq")
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+FILE = "_metadata.file_path"
+BLOCK = "_metadata.file_block_start"
+
+
+def read_lines(
+    spark: SparkSession, path: str | list[str], where: Column | None = None
+) -> DataFrame:
     """Lines with their position: file, start of the input split, order within the split.
 
     A split is read front to back by one task, so the increasing id orders the lines of a split,
-    and the split's start orders the splits of a file.
+    and the split's start orders the splits of a file. The id itself may differ from query to
+    query. `where` is a condition on FILE and BLOCK; files that it excludes are not opened.
     """
-    return spark.read.text(path).select(
+    text = spark.read.text(path)
+    if where is not None:
+        text = text.filter(where)
+    return text.select(
         "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col(FILE).alias("file"),
+        F.col(BLOCK).alias("block"),
         F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias("seq"),
     )
@@ -30,73 +40,79 @@ def leading_lines(
 ) -> DataFrame:
     """Lines from the start, as long as their bytes with line ends stay within `budget`.
 
-    The header line is kept and not counted. The first line that does not fit ends the run. Bytes
-    are summed for each input split, then line by line only inside the one split where the budget
-    runs out, so no task sees more than one split and the lines themselves are never shuffled.
+    The header line is kept and not counted. The first line that does not fit ends the run. Files
+    that begin too far behind the budget are not read. Bytes are summed for each input split, then
+    line by line only inside the one split where the budget runs out, so no task sees more than
+    one split and the lines themselves are not shuffled.
     """
-    lines = read_lines(spark, path)
-    head = _first_position(lines) if header else None
-    counted = lines if head is None else lines.filter(~_at(head))
-    size = byte_length(F.col("value")) + 1
-    # One row for each input split: a table of the size of the file listing.
-    splits = counted.groupBy("file", "block").agg(
-        F.sum(size).alias("bytes"),
-        F.max("file_size").alias("file_size"),
-    )
-    in_file = Window.partitionBy("file")
-    upto = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, 0)
-    header_bytes = F.lit(0) if head is None else F.when(
-        F.col("file") == head.file, F.lit(head.bytes)
-    ).otherwise(0)
-    # A last line without line end makes the file one byte shorter than its lines add up to.
-    unended = (F.sum("bytes").over(in_file) + header_bytes) - F.col("file_size") == 1
-    is_last = F.col("block") == F.max("block").over(in_file)
-    splits = splits.withColumn("short", (unended & is_last).cast("int"))
-    splits = splits.withColumn("upto", F.sum(F.col("bytes") - F.col("short")).over(upto))
-    crossing = (
-        splits.filter(F.col("upto") > budget).orderBy("file", "block").limit(1).collect()
-    )
-    if not crossing:
-        return lines.select("value", *POSITION)
-    cut = crossing[0]
-    before = cut.upto - cut.bytes + cut.short
-    inside = counted.filter((F.col("file") == cut.file) & (F.col("block") == cut.block))
-    order = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    is_end = F.lead("seq").over(Window.orderBy("seq")).isNull()
-    running = inside.select(
-        "seq",
-        (F.lit(before) + F.sum(size).over(order) - F.when(is_end, cut.short).otherwise(0)).alias(
-            "upto"
-        ),
+    found = _files(spark, path)
+    first = found.filter("file_size > 0").agg(F.min("file").alias("file")).collect()[0].file
+    if first is None:
+        return read_lines(spark, path).select("value", *POSITION)
+    if header:
+        budget += _first_line_bytes(read_lines(spark, path, F.col(FILE) == first))
+    # A line takes at least half as many bytes here as in the file, where it may end in two.
+    begin = F.sum("file_size").over(
+        Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     )
-    last = running.filter(F.col("upto") <= budget).agg(F.max("seq").alias("seq")).collect()[0].seq
-    earlier = (F.col("file") < cut.file) | (
-        (F.col("file") == cut.file) & (F.col("block") < cut.block)
+    near = found.withColumn("begin", F.coalesce(begin, F.lit(0))).filter(
+        F.col("begin") <= 2 * budget
     )
-    same = (F.col("file") == cut.file) & (F.col("block") == cut.block)
-    keep = earlier if last is None else earlier | (same & (F.col("seq") <= last))
-    if head is not None:
-        keep = keep | _at(head)
-    return lines.filter(keep).select("value", *POSITION)
+    near_file = F.col(FILE) <= near.agg(F.max("file")).collect()[0][0]
+    cut = _split_over(read_lines(spark, path, near_file), budget)
+    if cut is None:
+        return read_lines(spark, path, near_file).select("value", *POSITION)
+    file, block = F.col(FILE), F.col(BLOCK)
+    earlier = (file < cut.file) | ((file == cut.file) & (block < cut.block))
+    whole = read_lines(spark, path, (file <= cut.file) & earlier)
+    # Only the split where the budget runs out is looked at line by line.
+    order = Window.orderBy("seq")
+    upto = F.sum(_size()).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    unended = F.when(F.lead("seq").over(order).isNull(), F.lit(cut.unended)).otherwise(0)
+    inside = read_lines(spark, path, (file == cut.file) & (block == cut.block))
+    inside = inside.withColumn("upto", F.lit(cut.before) + upto - unended)
+    kept = inside.filter(F.col("upto") <= budget)
+    return whole.select("value", *POSITION).union(kept.select("value", *POSITION))
 
 
-def _first_position(lines: DataFrame):
-    """Position and size of the very first line, or None where there is none."""
-    first = lines.agg(F.min(F.struct("file", "block")).alias("at")).collect()[0].at
-    if first is None:
-        return None
-    here = lines.filter((F.col("file") == first.file) & (F.col("block") == first.block))
-    return (
-        here.select("file", "block", "seq", (byte_length(F.col("value")) + 1).alias("bytes"))
-        .orderBy("seq")
-        .limit(1)
-        .collect()[0]
+def _size():
+    return byte_length(F.col("value")) + 1
+
+
+def _files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Name and size of each file, from the listing alone."""
+    listing = spark.read.format("binaryFile").load(path)
+    return listing.select(
+        F.col(FILE).alias("file"), F.col("_metadata.file_size").alias("file_size")
     )
 
 
-def _at(position):
-    return (
-        (F.col("file") == position.file)
-        & (F.col("block") == position.block)
-        & (F.col("seq") == position.seq)
+def _first_line_bytes(lines: DataFrame) -> int:
+    """Size of the first line of one file; its first split is looked at first."""
+    columns = lines.select("block", "seq", _size().alias("bytes"))
+    head = columns.head()
+    if head.block != 0:
+        head = columns.orderBy("block", "seq").head()
+    return head.bytes
+
+
+def _split_over(lines: DataFrame, budget: int):
+    """The split in which the running total exceeds the budget, or None.
+
+    Works on one row for each input split: a table of the size of the file listing.
+    """
+    splits = lines.groupBy("file", "block").agg(
+        F.sum(_size()).alias("bytes"), F.max("file_size").alias("file_size")
+    )
+    in_file = Window.partitionBy("file")
+    # A last line without line end makes the file one byte shorter than its lines add up to.
+    missing = F.sum("bytes").over(in_file) - F.col("file_size") == 1
+    is_last = F.col("block") == F.max("block").over(in_file)
+    splits = splits.withColumn("unended", (missing & is_last).cast("int"))
+    upto = F.sum(F.col("bytes") - F.col("unended")).over(
+        Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, 0)
     )
+    over = splits.withColumn("upto", upto).filter(F.col("upto") > budget)
+    over = over.withColumn("before", F.col("upto") - F.col("bytes") + F.col("unended"))
+    rows = over.orderBy("file", "block").limit(1).collect()
+    return rows[0] if rows else None

@@ -42,7 +42,9 @@ def test_split_join_cuts_the_hot_key(spark, facts, dimension):
 
 
 def test_large_side_is_not_broadcast(facts, dimension):
-    assert joins.measured_bytes(dimension) > 80 * 16
+    assert joins.fits(dimension, 80 * 60) and not joins.fits(dimension, 80 * 48)
+    assert not joins.fits(dimension, 100)
+    assert joins.fits(dimension.limit(0), 0)
     small = plan_of(joins.join_many_to_one(facts, dimension, "k"))
     assert "BroadcastHashJoin" in small
     assert "_piece" in plan_of(joins.join_many_to_one(facts, dimension, "k", broadcast_bytes=100))
@@ -110,6 +112,9 @@ def test_prefix_split(spark):
     train, test = splits.prefix_split(df, "k", buckets=4, few=3)
     assert [r.k for r in train.orderBy("k").collect()] == list(range(31))
     assert [r.k for r in test.orderBy("k").collect()] == list(range(31, 39))
+    assert rows_of(test) == rows_of(df.subtract(train))
+    none, everything = splits.prefix_split(df, "k", 0.01)
+    assert none.count() == 0 and everything.count() == 39
 
 
 def test_difference(spark):
