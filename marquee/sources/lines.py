@@ -11,7 +11,6 @@ POSITION = ("file", "block", "seq")
 
 
 FILE = "_metadata.file_path"
-BLOCK = "_metadata.file_block_start"
 
 
 def read_lines(
@@ -21,7 +20,7 @@ def read_lines(
 
     A split is read front to back by one task, so the increasing id orders the lines of a split,
     and the split's start orders the splits of a file. The id itself may differ from query to
-    query. `where` is a condition on FILE and BLOCK; files that it excludes are not opened.
+    query. `where` is a condition on FILE; files that it excludes are not opened.
     """
     text = spark.read.text(path)
     if where is not None:
@@ -29,7 +28,7 @@ def read_lines(
     return text.select(
         "value",
         F.col(FILE).alias("file"),
-        F.col(BLOCK).alias("block"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias("seq"),
     )
@@ -58,18 +57,19 @@ def leading_lines(
     near = found.withColumn("begin", F.coalesce(begin, F.lit(0))).filter(
         F.col("begin") <= 2 * budget
     )
-    near_file = F.col(FILE) <= near.agg(F.max("file")).collect()[0][0]
-    cut = _split_over(read_lines(spark, path, near_file), budget)
+    # All that follows reads the same files: how files are cut into splits depends on which files
+    # are read. Conditions on the lines come after their id, so they do not select files.
+    lines = read_lines(spark, path, F.col(FILE) <= near.agg(F.max("file")).collect()[0][0])
+    cut = _split_over(lines, budget)
     if cut is None:
-        return read_lines(spark, path, near_file).select("value", *POSITION)
-    file, block = F.col(FILE), F.col(BLOCK)
-    earlier = (file < cut.file) | ((file == cut.file) & (block < cut.block))
-    whole = read_lines(spark, path, (file <= cut.file) & earlier)
+        return lines.select("value", *POSITION)
+    file, block = F.col("file"), F.col("block")
+    whole = lines.filter((file < cut.file) | ((file == cut.file) & (block < cut.block)))
     # Only the split where the budget runs out is looked at line by line.
     order = Window.orderBy("seq")
     upto = F.sum(_size()).over(order.rowsBetween(Window.unboundedPreceding, 0))
     unended = F.when(F.lead("seq").over(order).isNull(), F.lit(cut.unended)).otherwise(0)
-    inside = read_lines(spark, path, (file == cut.file) & (block == cut.block))
+    inside = lines.filter((file == cut.file) & (block == cut.block))
     inside = inside.withColumn("upto", F.lit(cut.before) + upto - unended)
     kept = inside.filter(F.col("upto") <= budget)
     return whole.select("value", *POSITION).union(kept.select("value", *POSITION))
