@@ -148,7 +148,7 @@ def flat_records(spark, sf_dir):
     return records.flatten(nested)
 
 
-_WORDS_SQL = r"""
+WORDS_SQL = r"""
   SELECT doc_id, unnest(CASE WHEN regexp_matches(t, '^\s+$') THEN [] ELSE
     regexp_split_to_array(regexp_replace(t, '\s+$', ''), '\s') END) AS term
   FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)
@@ -159,7 +159,7 @@ def _texts(spark, sf_dir):
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
-@query("tokens", f"SELECT doc_id, term, count(*) AS tf FROM ({_WORDS_SQL}) GROUP BY doc_id, term")
+@query("tokens", f"SELECT doc_id, term, count(*) AS tf FROM ({WORDS_SQL}) GROUP BY doc_id, term")
 def tokens(spark, sf_dir):
     return terms.term_counts(_texts(spark, sf_dir), "doc_id", "text")
 
@@ -167,7 +167,7 @@ def tokens(spark, sf_dir):
 @query(
     "tfidf",
     f"""
-    WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM ({_WORDS_SQL}) GROUP BY doc_id, term),
+    WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM ({WORDS_SQL}) GROUP BY doc_id, term),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
     SELECT doc_id, term, tf, df,
       round(tf * ln(((SELECT count(*) FROM documents) + 1.0) / (df + 1.0)), 6) AS tfidf

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.operators import columns, recommend, regression, splits
+from marquee.plans.cleaning import WORDS_SQL
 from marquee.plans.registry import query, table
-from marquee.plans.selection import _ITEM_MEAN_ERRORS, _item_mean_predictions
-from marquee.plans.views import distinct_ratings
+from marquee.plans.selection import ITEM_MEAN_ERRORS, item_mean_predictions
+from marquee.plans.views import RATINGS_SQL, distinct_ratings
 from marquee.schemas import PRODUCT_NUMERIC
 from marquee.session import materialize, scratch_path
 from marquee.sources import sinks
@@ -55,12 +58,12 @@ def linear_fit(spark, sf_dir):
     return df.select(F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"))
 
 
-@query("metrics_log", f"SELECT 'item mean' AS model, rmse, mae, mse FROM ({_ITEM_MEAN_ERRORS})")
+@query("metrics_log", f"SELECT 'item mean' AS model, rmse, mae, mse FROM ({ITEM_MEAN_ERRORS})")
 def metrics_log(spark, sf_dir):
     """The metrics of a baseline, appended to the log and read back."""
     path = scratch_path(spark, "metrics")
     settings = recommend.Settings(prediction="prediction")
-    predictions = _item_mean_predictions(spark, sf_dir)
+    predictions = item_mean_predictions(spark, sf_dir)
     recommend.evaluate(predictions, settings, path, model="item mean")
     logged = sinks.read_metrics(spark, path)
     return logged.select("model", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "mse")])
@@ -73,6 +76,56 @@ def _split_ratings(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return splits.hash_split(rated, "user_id", "item_id")
 
 
+_SPLIT_SQL = f"""
+  SELECT user_id, item_id, ('0x' || substr(md5('42|' || user_id || '|' || item_id), 1, 8))::BIGINT
+    % 100 < 80 AS in_train
+  FROM (SELECT DISTINCT user_id, item_id FROM ({RATINGS_SQL}))
+"""
+
+
+@query(
+    "als_coverage",
+    f"""
+    WITH r AS ({_SPLIT_SQL})
+    SELECT user_id, item_id, true AS predicted FROM r WHERE NOT in_train
+      AND user_id IN (SELECT user_id FROM r WHERE in_train)
+      AND item_id IN (SELECT item_id FROM r WHERE in_train)
+    """,
+)
+def als_coverage(spark, sf_dir):
+    """Held-out ratings get a prediction, never negative, exactly where both the user and the item
+    were in the training rows."""
+    train, test = _split_ratings(spark, sf_dir)
+    settings = dataclasses.replace(RATED, max_iter=2)
+    path = scratch_path(spark, "als")
+    recommend.train(train, path, settings)
+    predictions = recommend.predict(test, path, settings)
+    usable = (F.col("rating_prediction") >= 0) & ~F.isnan("rating_prediction")
+    return predictions.select("user_id", "item_id", usable.alias("predicted"))
+
+
+@query(
+    "als_ranks",
+    f"""
+    SELECT DISTINCT user_id::VARCHAR AS user_id, rank FROM ({_SPLIT_SQL}),
+      (SELECT unnest([1, 2, 3]) AS rank) WHERE in_train
+    """,
+)
+def als_ranks(spark, sf_dir):
+    """Every training user gets three different items, the best first."""
+    train, _ = _split_ratings(spark, sf_dir)
+    settings = dataclasses.replace(RATED, max_iter=2)
+    fitted = recommend.train(train, scratch_path(spark, "als"), settings)
+    top = recommend.recommend_labels(fitted, settings, 3)
+    user = Window.partitionBy("user_id")
+    ranked = user.orderBy("rank")
+    sound = (
+        F.coalesce(F.lag("rating_prediction").over(ranked) >= F.col("rating_prediction"), F.lit(True))
+        & (F.size(F.collect_set("item_id").over(user)) == F.count("item_id").over(user))
+    )
+    return top.withColumn("sound", sound).filter("sound").select("user_id", "rank")
+
+
 @query("als_predict")
 def als_predict(spark, sf_dir):
     train, test = _split_ratings(spark, sf_dir)
@@ -103,8 +156,10 @@ def _products(spark, sf_dir) -> DataFrame:
     rows = spread(table(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_type").alias("main_category"),
         F.col("p_name").alias("title"),
-        (F.col("p_partkey") % 9 / 2 + 1).cast("string").alias("average_rating"),
-        F.when(F.col("p_type") != "PROMO", F.col("p_size").cast("string")).alias("rating_number"),
+        (F.col("p_size") / 12.5 + 1).cast("string").alias("average_rating"),
+        F.when(F.col("p_type") != "PROMO", F.length("p_name").cast("string")).alias(
+            "rating_number"
+        ),
         F.col("p_retailprice").cast("string").alias("price"),
         F.col("p_brand").alias("store"),
         F.col("p_partkey").cast("string").alias("parent_asin"),
@@ -150,6 +205,55 @@ def regression_run_metrics(spark, sf_dir):
     return sinks.read_metrics(spark, log).select("model", "rmse", "mae", "mse")
 
 
+@query(
+    "forest_range",
+    f"""
+    SELECT p_partkey::VARCHAR AS parent_asin, true AS in_range FROM part
+    WHERE ('0x' || substr(md5('42|' || p_partkey), 1, 8))::BIGINT % 100 >= 80
+    """,
+)
+def forest_range(spark, sf_dir):
+    """A forest predicts means of training ratings, so every prediction lies among them."""
+    settings = regression.Settings(trees=10)
+    predicted = _regressed(spark, sf_dir, "random_forest", settings)
+    inside = F.col("rating_prediction").between(1.0, 5.0)
+    return predicted.select("parent_asin", inside.alias("in_range"))
+
+
+@query(
+    "category_positions",
+    """
+    SELECT p_partkey, dense_rank() OVER (ORDER BY n DESC, p_brand) - 1 AS position
+    FROM part JOIN (SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand) USING (p_brand)
+    """,
+)
+def category_positions(spark, sf_dir):
+    """Where the one of the one-hot vector is: the most frequent category comes first."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    regression.check_categories(rows, ["p_brand"])
+    stages = regression.category_stages(["p_brand"], "encoded")
+    # The encoder leaves out the last position, which the rarest category would have had: that one
+    # is kept for unseen categories.
+    encoded = Pipeline(stages=stages).fit(rows).transform(rows)
+    position = F.array_position(vector_to_array("encoded"), 1.0) - 1
+    return encoded.select("p_partkey", position.alias("position"))
+
+
+@query(
+    "hashed_counts",
+    f"SELECT doc_id, CAST(count(*) AS DOUBLE) AS words FROM ({WORDS_SQL}) GROUP BY doc_id",
+)
+def hashed_counts(spark, sf_dir):
+    """Hashing loses which word it was, but no word: the counts add up to the words of the text."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = docs.fillna("", subset=["text"])
+    stages = regression.text_stages(["text"], "text_features")[:2]
+    counts = vector_to_array(F.col("text_counts"))
+    hashed = Pipeline(stages=stages).fit(docs).transform(docs)
+    total = F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)
+    return hashed.select("doc_id", total.alias("words")).filter("words > 0")
+
+
 @query("hashed_tfidf")
 def hashed_tfidf(spark, sf_dir):
     """Hashed term weights of every text; one row for each text and non-zero bucket count."""

@@ -280,22 +280,22 @@ def topk_per_user(spark, sf_dir):
     return top.select("user_id", F.col("rank").cast("bigint").alias("rank"), "item_id", "rating")
 
 
-def _item_mean_predictions(spark, sf_dir):
+def item_mean_predictions(spark, sf_dir):
     rated = ratings(spark, sf_dir)
     means = rated.groupBy("item_id").agg(F.mean("rating").alias("prediction"))
     return joins.join_many_to_one(rated, means, "item_id", derived=True)
 
 
-_ITEM_MEAN_ERRORS = f"""
+ITEM_MEAN_ERRORS = f"""
   SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
          round(avg(e * e), 6) AS mse
   FROM (SELECT rating - avg(rating) OVER (PARTITION BY item_id) AS e FROM ({RATINGS_SQL}))
 """
 
 
-@query("regression_metrics", _ITEM_MEAN_ERRORS)
+@query("regression_metrics", ITEM_MEAN_ERRORS)
 def regression_metrics(spark, sf_dir):
-    found = metrics.error_frame(_item_mean_predictions(spark, sf_dir), "rating", "prediction")
+    found = metrics.error_frame(item_mean_predictions(spark, sf_dir), "rating", "prediction")
     return found.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "mse")])
 
 

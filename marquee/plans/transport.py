@@ -144,8 +144,8 @@ _FEEDS_SQL = f"""
   FROM ({_REVIEWS_SQL})
   UNION ALL
   SELECT 'mubi-sqlite', 'o' || o_orderkey, 'c' || o_custkey, NULL, o_orderpriority, NULL,
-         CAST(CASE WHEN o_orderstatus = 'F' THEN o_custkey % 10 + 1 END / 2.0 AS FLOAT),
-         CASE WHEN o_orderstatus = 'F' THEN o_custkey % 10 + 1 END, NULL, NULL
+         CAST(CASE WHEN o_orderstatus = 'F' THEN substr(o_orderpriority, 1, 1)::INTEGER END AS FLOAT),
+         CASE WHEN o_orderstatus = 'F' THEN substr(o_orderpriority, 1, 1)::INTEGER * 2 END, NULL, NULL
   FROM orders
   UNION ALL
   SELECT 'rotten-tomatoes', 'l' || l_orderkey || '-' || l_linenumber, 's' || l_suppkey,
@@ -157,13 +157,12 @@ _FEEDS_SQL = f"""
 
 def _feed_rows(spark, sf_dir) -> dict[str, DataFrame]:
     orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    urgency = (F.substring("o_orderpriority", 1, 1).cast("int") * 2).cast("string")
     raw = orders.select(
         F.concat(F.lit("o"), "o_orderkey").alias("review_id"),
         F.concat(F.lit("c"), "o_custkey").alias("reviewer"),
         F.col("o_orderpriority").alias("movie"),
-        F.when(
-            F.col("o_orderstatus") == "F", (F.col("o_custkey") % 10 + 1).cast("string")
-        ).alias("rating"),
+        F.when(F.col("o_orderstatus") == "F", urgency).alias("rating"),
         F.date_format("o_orderdate", "d MMMM yyyy").alias("review_date"),
         F.lit(0).alias("spoiler_tag"),
     )
