@@ -107,7 +107,7 @@ def test_leading_lines_equal_a_single_reader(spark, tmp_path, header, end):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        edges = [0, 5, 1000, 1777, 2500, total - head - 1, total - head, total + 9]
+        edges = [0, 1000, 1777, total - head - 1, total - head, total + 9]
         for budget in edges:
             got = lines.leading_lines(spark, str(tmp_path), budget, header=header)
             got = got.orderBy(*lines.POSITION)

@@ -25,7 +25,7 @@ def brute_cut(pairs, budget):
     return last, None
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
         st.tuples(
@@ -40,7 +40,7 @@ def test_cut_of_whole_numbers(spark, pairs, budget):
     assert ordering._walk(df, budget, 3, 2) == brute_cut(pairs, budget)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
         st.tuples(st.floats(allow_nan=False, allow_infinity=False), st.integers(0, 9)), max_size=40
