@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.joins import join_many_to_one
+from marquee.session import materialize
 
 
 def counts(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
@@ -21,16 +22,18 @@ def value_counts(df: DataFrame, column: str, name: str = "count") -> DataFrame:
     return counts(known, column, name=name).orderBy(F.desc(name), F.asc(column))
 
 
-def frequent_values(df: DataFrame, column: str, at_least: int) -> DataFrame:
-    """The non-null values with at least that many rows."""
+def frequent_values(df: DataFrame, column: str, at_least: int, name: str = "count") -> DataFrame:
+    """The non-null values with at least that many rows, and how many they have."""
     known = df.filter(F.col(column).isNotNull())
-    return counts(known, column, name="_n").filter(F.col("_n") >= at_least).select(column)
+    return counts(known, column, name=name).filter(F.col(name) >= at_least)
 
 
 def keep_frequent(df: DataFrame, column: str, at_least: int, **sizes) -> DataFrame:
     """Rows whose value occurs often enough; rows with a null value are dropped."""
-    kept = frequent_values(df, column, at_least)
-    return join_many_to_one(df, kept, column, "left_semi", derived=True, **sizes)
+    kept = materialize(frequent_values(df, column, at_least, "_n"), "frequent")
+    return join_many_to_one(
+        df, kept.select(column), column, "left_semi", counts=kept, **sizes
+    )
 
 
 def members(df: DataFrame, keys: DataFrame, column: str, **sizes) -> DataFrame:

@@ -50,6 +50,7 @@ def join_many_to_one(
     how: str = "inner",
     *,
     derived: bool = False,
+    counts: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
@@ -60,21 +61,28 @@ def join_many_to_one(
     row of `one` is repeated once for each.
 
     `derived` says that `one` is the result of an aggregate or join: it is written once, instead
-    of being computed for the measurement and again for the join.
+    of being computed for the measurement and again for the join. `counts` are the rows of `many`
+    for each key, in a column `_n`, if they are known; they are counted otherwise.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if derived:
         one = materialize(one, "one")
     if fits(one, broadcast_bytes):
         return many.join(F.broadcast(one), keys, how)
-    return split_join(many, one, keys, how, piece_rows)
+    return split_join(many, one, keys, how, piece_rows, counts)
 
 
 def split_join(
-    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, piece_rows: int = PIECE_ROWS
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    piece_rows: int = PIECE_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The shuffled form of `join_many_to_one`."""
-    counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if counts is None:
+        counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # At most rows / piece_rows keys can be hot, which bounds the broadcast.
     hot = F.broadcast(
         counts.filter(F.col("_n") > piece_rows).select(

@@ -23,20 +23,31 @@ def fit_index(df: DataFrame, column: str) -> DataFrame:
 
 
 def apply_index(
-    df: DataFrame, index: DataFrame, column: str, output: str, unseen: str = "keep", **sizes
+    df: DataFrame,
+    index: DataFrame,
+    column: str,
+    output: str,
+    unseen: str = "keep",
+    same_rows: bool = False,
+    **sizes,
 ) -> DataFrame:
     """Add the index of each label. A label that is not in the index
 
     * `keep`: gets the number after the last one,
     * `error`: fails the job,
     * `skip`: drops its row.
+
+    `same_rows` says that the index was fitted on these rows, so that its counts are theirs.
     """
     if unseen not in ("keep", "error", "skip"):
         raise ValueError(f"unknown handling of unseen labels: {unseen!r}")
     pairs = index.select(F.col("label").alias("_label"), F.col("idx").alias(output))
     labelled = df.withColumn("_label", F.col(column).cast("string"))
     how = "inner" if unseen == "skip" else "left"
-    joined = join_many_to_one(labelled, pairs, "_label", how, **sizes)
+    counts = index.select(F.col("label").alias("_label"), F.col("n").alias("_n"))
+    joined = join_many_to_one(
+        labelled, pairs, "_label", how, counts=counts if same_rows else None, **sizes
+    )
     if unseen == "keep":
         size = index.agg(F.max("idx")).collect()[0][0]
         bucket = F.lit(0 if size is None else size + 1).cast("bigint")

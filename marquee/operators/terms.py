@@ -25,7 +25,8 @@ def tf_idf(df: DataFrame, key: str, text: str, **sizes) -> DataFrame:
     """
     texts = df.count()
     tf = materialize(term_counts(df, key, text), "terms")
-    seen = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = join_many_to_one(tf, seen, "term", "inner", derived=True, **sizes)
+    seen = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "seen")
+    known = seen.withColumnRenamed("df", "_n")
+    joined = join_many_to_one(tf, seen, "term", "inner", counts=known, **sizes)
     idf = F.log((F.lit(texts) + 1.0) / (F.col("df") + 1.0))
     return joined.select(key, "term", "tf", "df", (F.col("tf") * idf).alias("tfidf"))

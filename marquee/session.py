@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
+_scratch_paths: list[str] = []
 
 
 def build_session(name: str = "marquee", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,7 +51,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch_paths.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this process has written to scratch paths. Frames that were derived from it
+    can no longer be computed, so results come first."""
+    while _scratch_paths:
+        files, target = _hadoop_path(spark, _scratch_paths.pop())
+        files.delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -67,6 +78,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` exists in the file system its own URI scheme names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, target = _hadoop_path(spark, path)
     return bool(files.exists(target))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -29,6 +29,9 @@ def test_split_join_equals_the_plain_join(facts, dimension, how):
         assert rows_of(got.select(*expected.columns)) == rows_of(expected)
         derived = joins.join_many_to_one(facts, dimension, "k", how, derived=True, **sizes)
         assert rows_of(derived.select(*expected.columns)) == rows_of(expected)
+    counts = frequency.counts(facts, "k", name="_n")
+    counted = joins.join_many_to_one(facts, dimension, "k", how, counts=counts, **SPLIT)
+    assert rows_of(counted.select(*expected.columns)) == rows_of(expected)
 
 
 def test_split_join_cuts_the_hot_key(spark, facts, dimension):
@@ -174,6 +177,8 @@ def test_unseen_labels(spark, tmp_path):
         same = model.transform(kept)
         assert same.filter("i != j").count() == 0 and same.count() == 3
         assert labels.apply_index(new, index, "v", "i", "skip", **sizes).count() == 1
+        again = labels.apply_index(df.dropna(), index, "v", "i", "error", same_rows=True, **sizes)
+        assert again.count() == 7
         with pytest.raises(Exception, match="unseen label in v"):
             labels.apply_index(new, index, "v", "i", "error", **sizes).collect()
     back = labels.restore_labels(kept, index, "i", "label")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions import values
 from marquee.schemas import REVIEW, UNIFIED_REVIEW
-from marquee.session import path_exists, scratch_path, shared_folder
+from marquee import session as sessions
+from marquee.session import drop_scratch, materialize, path_exists, scratch_path, shared_folder
 from marquee.sources import files
 from marquee.streaming import feeds, runs, topics
 
@@ -181,3 +182,12 @@ def test_shared_folder(spark, tmp_path):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert path_exists(spark, str(tmp_path)) and not path_exists(spark, str(tmp_path / "no"))
     assert path_exists(spark, f"file://{tmp_path}")
+
+
+def test_scratch_is_dropped(spark, monkeypatch):
+    monkeypatch.setattr(sessions, "_scratch_paths", [])
+    kept = materialize(spark.range(5), "five")
+    (path,) = sessions._scratch_paths
+    assert kept.count() == 5 and path_exists(spark, path)
+    drop_scratch(spark)
+    assert not path_exists(spark, path) and sessions._scratch_paths == []
