@@ -51,8 +51,8 @@ def join_many_to_one(
     *,
     derived: bool = False,
     counts: DataFrame | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    piece_rows: int = PIECE_ROWS,
+    broadcast_bytes: int | None = None,
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """Join where `key` is unique in `one`; `how` is inner, left or left_semi.
 
@@ -67,7 +67,7 @@ def join_many_to_one(
     keys = [key] if isinstance(key, str) else list(key)
     if derived:
         one = materialize(one, "one")
-    if fits(one, broadcast_bytes):
+    if fits(one, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         return many.join(F.broadcast(one), keys, how)
     return split_join(many, one, keys, how, piece_rows, counts)
 
@@ -77,10 +77,11 @@ def split_join(
     one: DataFrame,
     keys: Sequence[str],
     how: str,
-    piece_rows: int = PIECE_ROWS,
+    piece_rows: int | None = None,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """The shuffled form of `join_many_to_one`."""
+    piece_rows = piece_rows or PIECE_ROWS
     if counts is None:
         counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # At most rows / piece_rows keys can be hot, which bounds the broadcast.

@@ -29,12 +29,13 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _EXACT_SPAN = 2**53
 
 
-def _walk(df: DataFrame, budget, buckets: int, few: int):
+def _walk(df: DataFrame, budget, buckets: int | None = None, few: int | None = None):
     """(last, next): the greatest `v` whose rows and all earlier ones have a total `w` within the
     budget, and the first `v` that does not fit; None where there is no such value.
 
     `df` holds non-null `v` and non-negative `w`. Each step reads at most `buckets` + 1 rows.
     """
+    buckets, few = buckets or BUCKETS, few or FEW
     integral = isinstance(df.schema["v"].dataType, _INTEGRAL)
     if not integral and not isinstance(df.schema["v"].dataType, (T.DoubleType, T.FloatType)):
         raise TypeError("the order column must be a whole or floating number")
@@ -89,7 +90,7 @@ def _bucket(lo, hi, integral: bool, buckets: int) -> Column:
     return F.floor(distance / F.lit(width) * F.lit(float(buckets))).cast("int")
 
 
-def cut_value(df: DataFrame, order: str, weight: Column, budget, *, buckets=BUCKETS, few=FEW):
+def cut_value(df: DataFrame, order: str, weight: Column, budget, *, buckets=None, few=None):
     """Greatest value of `order` such that all rows up to it weigh at most `budget` together.
 
     `order` must be a unique number: rows with an equal value are kept or left together.
@@ -98,7 +99,7 @@ def cut_value(df: DataFrame, order: str, weight: Column, budget, *, buckets=BUCK
     return _walk(pairs, budget, buckets, few)[0]
 
 
-def value_at_rank(df: DataFrame, column: str, rank: int, *, buckets=BUCKETS, few=FEW):
+def value_at_rank(df: DataFrame, column: str, rank: int, *, buckets=None, few=None):
     """The `rank`-th smallest value (1 = smallest), ties counted one by one."""
     pairs = df.select(F.col(column).alias("v"), F.lit(1).alias("w"))
     return _walk(pairs, rank - 1, buckets, few)[1]
@@ -109,14 +110,14 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFram
     return df.orderBy(*order).limit(n)
 
 
-def ordered_prefix(df: DataFrame, order: str, n: int, *, buckets=BUCKETS, few=FEW) -> DataFrame:
+def ordered_prefix(df: DataFrame, order: str, n: int, *, buckets=None, few=None) -> DataFrame:
     """The n first rows by a unique number, for any n: no sort, only a filter on `order`."""
     cut = cut_value(df, order, F.lit(1), n, buckets=buckets, few=few)
     return df.filter(F.lit(False) if cut is None else F.col(order) <= F.lit(cut))
 
 
 def byte_prefix(
-    df: DataFrame, order: str, text: str, budget: int, *, buckets=BUCKETS, few=FEW
+    df: DataFrame, order: str, text: str, budget: int, *, buckets=None, few=None
 ) -> DataFrame:
     """Rows from the start of `order` while the UTF-8 bytes of `text` stay within `budget`.
 
