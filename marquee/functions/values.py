@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spellings of "no value" that arrive as text.
-NO_VALUE = ("", "nan", "null", "none")
+# Fixed value: what the JSON reader makes of a bare NaN where text is expected. Writers that hold
+# missing cells as NaN send it; a text that reads NaN comes without the quote marks.
+NAN_TEXT = '"NaN"'
 
 
 def present(text: Column) -> Column:
-    """The text, or null where it spells a missing value (quote marks around it ignored)."""
-    bare = F.lower(F.btrim(text, F.lit(' \t\n\r"')))
-    return F.when(~bare.isin(*NO_VALUE), text)
+    """The text, or null where the message had a bare NaN."""
+    return F.when(text != NAN_TEXT, text)
 
 
 def finite(number: Column) -> Column:

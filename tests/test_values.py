@@ -45,7 +45,8 @@ def test_numbers_and_missing_spellings(spark):
     samples = ["1.5", "NaN", "", "x", None]
     assert one(spark, values.to_double, samples) == [1.5, None, None, None, None]
     assert one(spark, values.half_scale, ["9", "x"]) == [4.5, None]
-    assert one(spark, values.present, ["a", '"NaN"', " ", "null", None, "None"]) == ["a"] + [None] * 5
+    texts = ["a", "NaN", "", "None", '"NaN"', None]
+    assert one(spark, values.present, texts) == ["a", "NaN", "", "None", None, None]
     assert one(spark, values.finite, [float("nan"), 2.0], "double") == [None, 2.0]
 
 
