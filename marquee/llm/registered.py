@@ -1,4 +1,10 @@
 """Imports every module that registers a query."""
 
-from marquee.llm import op3_ngram_join  # noqa: F401
+from marquee.llm import (  # noqa: F401
+    op3_ngram_join,
+    op4_line_spread,
+    op5_chat_format,
+    op7_histogram_shards,
+    op10_secret_scan,
+)
 from marquee.llm.plans import ORACLES, QUERIES  # noqa: F401
