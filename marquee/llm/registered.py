@@ -1,6 +1,7 @@
 """Imports every module that registers a query."""
 
 from marquee.llm import (  # noqa: F401
+    op1_dual_tree,
     op3_ngram_join,
     op4_line_spread,
     op5_chat_format,
