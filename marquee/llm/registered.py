@@ -5,6 +5,7 @@ from marquee.llm import (  # noqa: F401
     op3_ngram_join,
     op4_line_spread,
     op5_chat_format,
+    op6_cotraining,
     op7_histogram_shards,
     op10_secret_scan,
 )
