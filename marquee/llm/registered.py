@@ -7,6 +7,7 @@ from marquee.llm import (  # noqa: F401
     op5_chat_format,
     op6_cotraining,
     op7_histogram_shards,
+    op9_decontaminate,
     op10_secret_scan,
 )
 from marquee.llm.plans import ORACLES, QUERIES  # noqa: F401
