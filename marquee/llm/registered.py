@@ -2,6 +2,7 @@
 
 from marquee.llm import (  # noqa: F401
     op1_dual_tree,
+    op2_mixing,
     op3_ngram_join,
     op4_line_spread,
     op5_chat_format,
