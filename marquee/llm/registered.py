@@ -8,6 +8,7 @@ from marquee.llm import (  # noqa: F401
     op5_chat_format,
     op6_cotraining,
     op7_histogram_shards,
+    op8_url_words,
     op9_decontaminate,
     op10_secret_scan,
 )
