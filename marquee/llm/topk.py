@@ -90,7 +90,7 @@ def _reach(a: str, b: str) -> Column:
     return reach + F.abs(reach) * 1e-9 + 1e-6
 
 
-FOUND = "query_block long, query_id long, vec_id long, score long"
+FOUND = "dim int, query_block long, query_id long, vec_id long, score long"
 
 
 def _searched(key, queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -107,12 +107,13 @@ def _searched(key, queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.Data
             at, of = np.nonzero(best.ids < np.iinfo(np.int64).max)
             parts.append(
                 pd.DataFrame({
+                    "dim": np.full(len(at), row.dim, np.int32),
                     "query_block": np.full(len(at), row.block, np.int64), "query_id": asked.ids[at],
                     "vec_id": best.ids[at, of], "score": best.scores[at, of],
                 })
             )
     return pd.concat(parts) if parts else pd.DataFrame(
-        {name: np.zeros(0, np.int64) for name in ("query_block", "query_id", "vec_id", "score")}
+        {name: np.zeros(0, np.int64) for name in ("dim", "query_block", "query_id", "vec_id", "score")}
     )
 
 
@@ -217,7 +218,7 @@ def top_k(
     first = store.keep(run(home, None), "first")
     floors = store.keep(
         asked.select("dim", "block", "tree")
-        .join(first.withColumnRenamed("query_block", "block"), "block", "left")
+        .join(first.withColumnRenamed("query_block", "block"), ["dim", "block"], "left")
         .groupBy("dim", "block")
         .applyInPandas(lambda rows: _floors(rows, k), "dim int, block long, floor array<long>, worst long"),
         "floors",
