@@ -102,7 +102,7 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
     cells = (
         parts.withColumn("part", sort)
-        .withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor((F.col("stop") - 1) / scope))))
+        .withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("stop") / scope))))
         .groupBy("row", "cell", "part")
         .agg(F.min("start").alias("first_start"), F.max("stop").alias("last_stop"))
     )
