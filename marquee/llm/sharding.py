@@ -5,7 +5,6 @@ from __future__ import annotations
 from bisect import bisect_right
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -164,12 +163,13 @@ def shard_by_bytes(
     bounds = splitters(keys, shards, tolerance)
     a, b, part = fresh(rows, "key_a", "key_b", "part")
 
+    edges = F.array(*[F.struct(F.lit(p).alias("a"), F.lit(q).alias("b")) for p, q in bounds])
+
     def shard_of(first: str, second: str) -> Column:
-        above = [
-            F.when((F.col(first) > p) | ((F.col(first) == p) & (F.col(second) >= q)), 1).otherwise(0)
-            for p, q in bounds
-        ]
-        return reduce(add, above, F.lit(0)).cast("int")
+        if not bounds:
+            return F.lit(0)
+        key = F.struct(F.col(first).alias("a"), F.col(second).alias("b"))
+        return F.size(F.filter(edges, lambda edge: edge <= key))
 
     # parts of a shard by the leading bits of the key: of the text's, or of the id's for hot texts
     counts = keys.groupBy(F.shiftright("a", KEY_BITS - PROBE_BITS)).count()
