@@ -18,9 +18,9 @@ from marquee.llm.words import Words, mix, shingles, words_of
 #: Words of a seed.
 WIDTH = 3
 #: Of each so many consecutive n-grams of an item, the one rarest in the corpus is a seed.
-EVERY = 4
+EVERY = 2
 #: Share of an item's seeds that must occur in a passage for it to be aligned.
-SEEDED = 0.2
+SEEDED = 0.12
 #: Alignment: points for equal words, and off for others and for gaps.
 MATCH, MISMATCH, GAP = 2, 1, 1
 #: Share of the points of a whole copy from which on a passage is one.

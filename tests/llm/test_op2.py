@@ -11,7 +11,10 @@ from marquee.llm.mixing import corpus_levels, mix
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, text string, lang string, source string, epoch string, passes int, tokens long"
 WEIGHTS = {"lang": {"en": 3.0, "de": 1.0, "zz": 0.0}, "source": {"a": 2.0}}
-LEVELS = {"lang": F.col("lang"), "source": F.col("source")}
+
+
+def levels():
+    return {"lang": F.col("lang"), "source": F.col("source")}
 
 
 def number(text):
@@ -71,14 +74,14 @@ def test_against_brute_force(spark, budget, epochs):
     rows += [(500, "w " * 3000, "fr", "b"), (3, rows[3][1], *rows[3][2:]), (7, "x y", None, None), (None, "x", "en", None)]
     rows += [(8, None, "en", "a"), (9, "", "es", "a"), (10, "", "es", "a")]
     df = spark.createDataFrame([(*row, "old", 1, 2) for row in rows], SCHEMA)
-    got = mix(df, WEIGHTS, budget, LEVELS, epochs, seed=5)
+    got = mix(df, WEIGHTS, budget, levels(), epochs, seed=5)
     assert sorted(got.columns) == sorted(df.columns)
     assert sorted(((g.doc_id, g.epoch) for g in got.collect()), key=str) == brute(rows, budget, epochs, 5)
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert mix(df, WEIGHTS, 100, LEVELS).collect() == []
+    assert mix(df, WEIGHTS, 100, levels()).collect() == []
 
 
 def test_corpus_levels(spark):
