@@ -69,8 +69,12 @@ def now_text() -> Column:
 
 
 def stable_id(*parts: Column) -> Column:
-    """The same id for the same row every time it is computed, so that a replay overwrites."""
-    return F.sha2(F.concat_ws("|", *[part.cast("string") for part in parts]), 256)
+    """The same id for the same row every time it is computed, so that a replay overwrites.
+
+    The parts are hashed as a JSON list, in which separators are escaped and nulls are kept, so
+    other parts give another id.
+    """
+    return F.sha2(F.to_json(F.array(*[part.cast("string") for part in parts])), 256)
 
 
 def random_id() -> Column:

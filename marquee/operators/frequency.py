@@ -38,8 +38,7 @@ def keep_frequent(df: DataFrame, column: str, at_least: int, **sizes) -> DataFra
 
 def members(df: DataFrame, keys: DataFrame, column: str, **sizes) -> DataFrame:
     """Rows whose value is in a frame of keys, each row once."""
-    unique = keys.select(column).distinct()
-    return join_many_to_one(df, unique, column, "left_semi", derived=True, **sizes)
+    return join_many_to_one(df, keys.select(column), column, "left_semi", derived=True, **sizes)
 
 
 def frequent_item_stats(

@@ -16,6 +16,8 @@ from marquee.session import materialize
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Rows of one key that one task may take; keys with more are split.
 PIECE_ROWS = 4_000_000
+# Buckets in which rows are counted to find hot keys.
+HASH_BUCKETS = 1 << 20
 
 
 def fits(df: DataFrame, limit: int) -> bool:
@@ -83,7 +85,7 @@ def split_join(
     """The shuffled form of `join_many_to_one`."""
     piece_rows = piece_rows or PIECE_ROWS
     if counts is None:
-        counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        counts = _hot_counts(many, keys, piece_rows)
     # At most rows / piece_rows keys can be hot, which bounds the broadcast.
     hot = F.broadcast(
         counts.filter(F.col("_n") > piece_rows).select(
@@ -109,6 +111,19 @@ def split_join(
     return left.join(right, [*keys, "_piece"], how).drop("_piece")
 
 
+def _hot_counts(many: DataFrame, keys: Sequence[str], piece_rows: int) -> DataFrame:
+    """Counts of the keys that may be hot.
+
+    Rows are counted by hash buckets first, which combines below the shuffle whatever the keys are;
+    keys are counted only in buckets with more than `piece_rows` rows, of which there are at most
+    rows / piece_rows.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS)).alias("_bucket")
+    full = many.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > piece_rows)
+    rows = many.select(*keys, bucket).join(F.broadcast(full.select("_bucket")), "_bucket", "left_semi")
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def first_per_key(df: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
     """One row for each key: the first by `order`. Combined before the shuffle."""
     row = F.min_by(F.struct(*columns), F.col(order)).alias("_row")

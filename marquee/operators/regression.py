@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -12,7 +12,6 @@ from pyspark.ml.feature import (
     HashingTF,
     MinMaxScaler,
     OneHotEncoder,
-    StringIndexer,
     Tokenizer,
     VectorAssembler,
 )
@@ -27,16 +26,15 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.operators.labels import apply_index, fit_index, load_index, save_index
 from marquee.operators.metrics import errors
 from marquee.operators.nulls import apply_fill, fill_values
 from marquee.operators.recommend import MODES
-from marquee.session import path_exists
+from marquee.session import materialize, path_exists
 from marquee.sources.sinks import log_metrics
 
 TERM_BUCKETS = 500
 TREES = 100
-# The category encoder keeps its labels on the driver, so columns with more are refused.
-MAX_CATEGORIES = 10_000
 
 
 @dataclass(frozen=True)
@@ -58,6 +56,7 @@ class Fitted:
     fill: dict[str, float]
     features: PipelineModel
     model: object
+    indexes: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _linear(s: Settings):
@@ -118,10 +117,10 @@ def numeric_stages(columns: Sequence[str], output: str) -> list:
 
 
 def category_stages(columns: Sequence[str], output: str) -> list:
+    """One-hot vectors of the numbers that `number_categories` gives."""
     numbers = [f"{c}_number" for c in columns]
     encoded = [f"{c}_encoded" for c in columns]
     return [
-        StringIndexer(inputCols=list(columns), outputCols=numbers, handleInvalid="keep"),
         OneHotEncoder(inputCols=numbers, outputCols=encoded),
         VectorAssembler(inputCols=encoded, outputCol=output),
     ]
@@ -141,50 +140,69 @@ def feature_pipeline(settings: Settings) -> Pipeline:
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
 
 
-def check_categories(df: DataFrame, columns: Sequence[str]) -> None:
-    if not columns:
-        return
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).collect()[0]
-    for column in columns:
-        if row[column] > MAX_CATEGORIES:
-            raise ValueError(f"{column} has about {row[column]} categories, over {MAX_CATEGORIES}")
+def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:
+    """The label index of each column, written once. It is a table, so that there may be any number
+    of categories; the encoder's model holds their number only."""
+    return {c: materialize(fit_index(df, c), "categories") for c in columns}
 
 
-def prepare(df: DataFrame, fill: dict[str, float], settings: Settings) -> DataFrame:
-    """Fill numbers with the fitted values and missing text with the empty string. An empty
-    category counts as missing; missing ones share the encoder's bucket for unseen values."""
-    known = {c: F.when(F.col(c) != "", F.col(c)) for c in settings.category}
-    return apply_fill(df, fill).fillna("", subset=list(settings.text)).withColumns(known)
+def number_categories(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
+    """Add the number of each category, the most frequent one being 0. Missing and unseen ones
+    share the number after the last, which the encoder leaves out."""
+    for column, index in indexes.items():
+        size = index.agg(F.max("idx")).collect()[0][0]
+        values = (-1 if size is None else size) + 2
+        name = f"{column}_number"
+        df = apply_index(df, index, column, name)
+        attribute = {"ml_attr": {"type": "nominal", "num_vals": max(values, 2), "name": name}}
+        df = df.withColumn(name, F.col(name).cast("double").alias(name, metadata=attribute))
+    return df
 
 
-def fit_features(df: DataFrame, settings: Settings) -> tuple[dict[str, float], PipelineModel]:
-    check_categories(df, settings.category)
-    fill = fill_values(df, settings.numeric, settings.fill)
-    return fill, feature_pipeline(settings).fit(prepare(df, fill, settings))
+def prepare(
+    df: DataFrame, fill: dict[str, float], settings: Settings, indexes: dict[str, DataFrame]
+) -> DataFrame:
+    """Fill numbers with the fitted values and missing text with the empty string, and number the
+    categories. An empty category counts as missing."""
+    filled = _known(apply_fill(df, fill).fillna("", subset=list(settings.text)), settings)
+    return number_categories(filled, indexes)
+
+
+def _known(df: DataFrame, settings: Settings) -> DataFrame:
+    return df.withColumns({c: F.when(F.col(c) != "", F.col(c)) for c in settings.category})
 
 
 def fit(df: DataFrame, name: str, settings: Settings = Settings()) -> Fitted:
     """Fit features and model on the rows that have a label."""
     _, make, _ = choose(name)
     used = [*settings.text, *settings.numeric, *settings.category, settings.label]
-    # Every stage that is fitted reads the rows once more.
     rows = df.select(*used).dropna(subset=[settings.label]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fill, features = fit_features(rows, settings)
-        vectors = features.transform(prepare(rows, fill, settings))
-        model = make(settings).fit(vectors.select("features", settings.label))
+        fill = fill_values(rows, settings.numeric, settings.fill)
+        indexes = fit_categories(_known(rows, settings), settings.category)
+        prepared = prepare(rows, fill, settings, indexes)
+        features = feature_pipeline(settings).fit(prepared)
+        # The model reads its rows many times; words are cut and hashed once for all of them.
+        vectors = features.transform(prepared).select("features", settings.label)
+        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = make(settings).fit(vectors)
+        finally:
+            vectors.unpersist()
     finally:
         rows.unpersist()
-    return Fitted(fill, features, model)
+    return Fitted(fill, features, model, indexes)
 
 
 def score(df: DataFrame, fitted: Fitted, settings: Settings = Settings()) -> DataFrame:
-    return fitted.model.transform(fitted.features.transform(prepare(df, fitted.fill, settings)))
+    prepared = prepare(df, fitted.fill, settings, fitted.indexes)
+    return fitted.model.transform(fitted.features.transform(prepared))
 
 
 def _paths(save_dir: str, name: str) -> dict[str, str]:
     return {
         "fill": f"{save_dir}/pipeline_dir/fill_values",
+        "categories": f"{save_dir}/pipeline_dir/categories",
         "features": f"{save_dir}/pipeline_dir/pipeline_model",
         "model": f"{save_dir}/model/{choose(name)[0]}",
     }
@@ -198,6 +216,10 @@ def save(spark: SparkSession, fitted: Fitted, save_dir: str, name: str) -> None:
     paths = _paths(save_dir, name)
     rows = spark.createDataFrame(list(fitted.fill.items()), "column string, value double")
     rows.write.mode("overwrite").parquet(paths["fill"])
+    names = spark.createDataFrame([(c,) for c in fitted.indexes], "column string")
+    names.write.mode("overwrite").parquet(f"{paths['categories']}/names")
+    for column, index in fitted.indexes.items():
+        save_index(index, f"{paths['categories']}/{column}")
     fitted.features.write().overwrite().save(paths["features"])
     fitted.model.write().overwrite().save(paths["model"])
 
@@ -205,10 +227,12 @@ def save(spark: SparkSession, fitted: Fitted, save_dir: str, name: str) -> None:
 def load(spark: SparkSession, save_dir: str, name: str) -> Fitted:
     paths = _paths(save_dir, name)
     fill = spark.read.schema("column string, value double").parquet(paths["fill"]).collect()
+    names = spark.read.schema("column string").parquet(f"{paths['categories']}/names").collect()
     return Fitted(
         {row["column"]: row["value"] for row in fill},
         PipelineModel.load(paths["features"]),
         choose(name)[2].load(paths["model"]),
+        {r["column"]: load_index(spark, f"{paths['categories']}/{r['column']}") for r in names},
     )
 
 

@@ -12,7 +12,10 @@ from marquee.session import materialize
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf): how often each word occurs in each text."""
-    terms = df.select(key, F.explode(words(F.col(text))).alias("term"))
+    # The texts are hashed by key before they are cut, which is less to move than their words; the
+    # counts then need no other exchange.
+    texts = df.select(key, text).repartition(key)
+    terms = texts.select(key, F.explode(words(F.col(text))).alias("term"))
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

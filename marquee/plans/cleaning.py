@@ -13,14 +13,14 @@ from marquee.sources.tables import spread
 
 @query(
     "title_year",
-    r"""
+    rf"""
     WITH t AS (SELECT p_partkey, CASE p_type
         WHEN 'ECONOMY' THEN p_name || ': ' || p_brand || ' (' || (1950 + p_size) || '– )'
         WHEN 'STANDARD' THEN p_name || ' (I) (' || (1950 + p_size) || '–' || (1960 + p_size) || ')'
         WHEN 'PROMO' THEN p_name || ' ' || p_brand
         ELSE p_name || ' (' || (1950 + p_size) || ')' END AS movie FROM part),
     m AS (SELECT *, regexp_extract(movie,
-        '^(.*?)(?::\s*.*)?\s*\((\d{4})(?:–\d{4})?(?:–\s*)?\)', ['name', 'year']) AS g FROM t)
+        '{text.TITLE_RULE}', ['name', 'year']) AS g FROM t)
     SELECT p_partkey, CASE WHEN g.year <> '' THEN trim(g.name) ELSE movie END AS movie,
            nullif(g.year, '') AS release_time
     FROM m

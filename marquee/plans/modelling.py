@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
-
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -96,10 +94,9 @@ def als_coverage(spark, sf_dir):
     """Held-out ratings get a prediction, never negative, exactly where both the user and the item
     were in the training rows."""
     train, test = _split_ratings(spark, sf_dir)
-    settings = dataclasses.replace(RATED, max_iter=2)
     path = scratch_path(spark, "als")
-    recommend.train(train, path, settings)
-    predictions = recommend.predict(test, path, settings)
+    recommend.train(train, path, RATED)
+    predictions = recommend.predict(test, path, RATED)
     usable = (F.col("rating_prediction") >= 0) & ~F.isnan("rating_prediction")
     return predictions.select("user_id", "item_id", usable.alias("predicted"))
 
@@ -114,9 +111,8 @@ def als_coverage(spark, sf_dir):
 def als_ranks(spark, sf_dir):
     """Every training user gets three different items, the best first."""
     train, _ = _split_ratings(spark, sf_dir)
-    settings = dataclasses.replace(RATED, max_iter=2)
-    fitted = recommend.train(train, scratch_path(spark, "als"), settings)
-    top = recommend.recommend_labels(fitted, settings, 3)
+    fitted = recommend.train(train, scratch_path(spark, "als"), RATED)
+    top = recommend.recommend_labels(fitted, RATED, 3)
     user = Window.partitionBy("user_id")
     ranked = user.orderBy("rank")
     sound = (
@@ -214,8 +210,7 @@ def regression_run_metrics(spark, sf_dir):
 )
 def forest_range(spark, sf_dir):
     """A forest predicts means of training ratings, so every prediction lies among them."""
-    settings = regression.Settings(trees=10)
-    predicted = _regressed(spark, sf_dir, "random_forest", settings)
+    predicted = _regressed(spark, sf_dir, "random_forest", regression.Settings())
     inside = F.col("rating_prediction").between(1.0, 5.0)
     return predicted.select("parent_asin", inside.alias("in_range"))
 
@@ -230,15 +225,35 @@ def forest_range(spark, sf_dir):
 def category_positions(spark, sf_dir):
     """Where the one of the one-hot vector is: the most frequent category comes first."""
     rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    regression.check_categories(rows, ["p_brand"])
     stages = regression.category_stages(["p_brand"], "encoded")
-    # The encoder leaves out the last position, which the rarest category would have had: that one
-    # is kept for unseen categories.
-    encoded = Pipeline(stages=stages).fit(rows).transform(rows)
+    # The encoder leaves out the last position, which unseen categories share.
+    numbered = regression.number_categories(rows, regression.fit_categories(rows, ["p_brand"]))
+    encoded = Pipeline(stages=stages).fit(numbered).transform(numbered)
     position = F.array_position(vector_to_array("encoded"), 1.0) - 1
     return encoded.select("p_partkey", position.alias("position"))
 
 
+@query(
+    "many_categories",
+    """
+    SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderkey::VARCHAR) - 1 AS position,
+           (SELECT count(DISTINCT o_orderkey) + 1 FROM orders) AS positions
+    FROM orders
+    """,
+)
+def many_categories(spark, sf_dir):
+    """A category for each row, and the size of the encoder that was fitted on them."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey")
+    numbered = regression.number_categories(rows, regression.fit_categories(rows, ["o_orderkey"]))
+    stages = regression.category_stages(["o_orderkey"], "encoded")
+    fitted = Pipeline(stages=stages).fit(numbered)
+    return fitted.transform(numbered).select(
+        "o_orderkey",
+        F.col("o_orderkey_number").cast("bigint").alias("position"),
+        F.lit(fitted.stages[0].categorySizes[0]).cast("bigint").alias("positions"),
+    )
+
+
 @query(
     "hashed_counts",
     f"SELECT doc_id, CAST(count(*) AS DOUBLE) AS words FROM ({WORDS_SQL}) GROUP BY doc_id",

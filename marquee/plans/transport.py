@@ -155,10 +155,10 @@ _FEEDS_SQL = f"""
 """
 
 
-def _feed_rows(spark, sf_dir) -> dict[str, DataFrame]:
+def _raw_rows(spark, sf_dir) -> DataFrame:
     orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     urgency = (F.substring("o_orderpriority", 1, 1).cast("int") * 2).cast("string")
-    raw = orders.select(
+    return orders.select(
         F.concat(F.lit("o"), "o_orderkey").alias("review_id"),
         F.concat(F.lit("c"), "o_custkey").alias("reviewer"),
         F.col("o_orderpriority").alias("movie"),
@@ -166,6 +166,9 @@ def _feed_rows(spark, sf_dir) -> dict[str, DataFrame]:
         F.date_format("o_orderdate", "d MMMM yyyy").alias("review_date"),
         F.lit(0).alias("spoiler_tag"),
     )
+
+
+def _site_rows(spark, sf_dir) -> DataFrame:
     score = F.ceil(F.col("l_quantity") / 5).cast("double")
     items = table(spark, sf_dir, "lineitem")
     site = spread(items, "l_orderkey", "l_linenumber").select(
@@ -182,13 +185,12 @@ def _feed_rows(spark, sf_dir) -> dict[str, DataFrame]:
         F.col("p_name").alias("movieTitle"),
         "p_partkey",
     )
-    return {
-        "imdb": _reviews(spark, sf_dir),
-        "mubi-sqlite": raw,
-        "rotten-tomatoes": joins.lookup(
-            site, movies, "movieId", "p_partkey", ["movieYear", "movieTitle"]
-        ),
-    }
+    return joins.lookup(site, movies, "movieId", "p_partkey", ["movieYear", "movieTitle"])
+
+
+IMDB, MUBI, ROTTEN = feeds.FEEDS
+# Rows of a feed are put together only where it is used.
+_FEED_ROWS = {IMDB: _reviews, MUBI: _raw_rows, ROTTEN: _site_rows}
 
 
 def _shown(rows: DataFrame) -> DataFrame:
@@ -202,8 +204,8 @@ def _shown(rows: DataFrame) -> DataFrame:
 def unified_reviews(spark, sf_dir):
     """The three feeds as messages, parsed onto one schema and put together."""
     parsed = {
-        topic: feeds.parse(topics.as_messages(rows), topic, F.expr("uuid()")).drop("feed")
-        for topic, rows in _feed_rows(spark, sf_dir).items()
+        topic: feeds.parse(topics.as_messages(rows(spark, sf_dir)), topic, F.expr("uuid()")).drop("feed")
+        for topic, rows in _FEED_ROWS.items()
     }
     return _shown(sinks.conform(sets.union_feeds(parsed), UNIFIED_REVIEW))
 
@@ -215,7 +217,7 @@ def unified_reviews(spark, sf_dir):
 def stream_land(spark, sf_dir):
     """A topic, drained into JSON lines in micro-batches."""
     topic, landed, checkpoint = (scratch_path(spark, n) for n in ("topic", "landed", "progress"))
-    topics.publish_files(topics.as_messages(_reviews(spark, sf_dir)), topic, "imdb")
+    topics.publish_files(topics.as_messages(_reviews(spark, sf_dir)), topic, IMDB)
     stream = topics.message_text(topics.read_files(spark, topic, max_files_per_trigger=100))
     rows = stream.select(F.from_json("value", REVIEW).alias("value")).select("value.*")
     runs.finish(runs.land_json(rows, landed, checkpoint, interval=None))
@@ -232,7 +234,7 @@ def stream_land(spark, sf_dir):
 def stream_append(spark, sf_dir):
     """What arrives after the first drain is appended by the second, and nothing is read twice."""
     topic, landed, checkpoint = (scratch_path(spark, n) for n in ("topic", "landed", "progress"))
-    arrivals = (_reviews(spark, sf_dir), _feed_rows(spark, sf_dir)["mubi-sqlite"])
+    arrivals = (_reviews(spark, sf_dir), _raw_rows(spark, sf_dir))
     schema = T.StructType.fromDDL("review_id string, movie string")
     for rows in arrivals:
         topics.publish_files(topics.as_messages(rows), topic, "reviews")
@@ -245,7 +247,7 @@ def stream_append(spark, sf_dir):
 @query(
     "stream_upsert",
     f"""
-    SELECT sha256('imdb|' || review_id) AS id, review_id AS "reviewId", movie AS "movieTitle",
+    SELECT sha256('["{IMDB}","' || review_id || '"]') AS id, review_id AS "reviewId", movie AS "movieTitle",
            CAST(rating AS FLOAT) AS rating, review_date,
            substr(release_time, 1, 4) || '-01-01' AS release_time
     FROM ({_REVIEWS_SQL})
@@ -255,9 +257,9 @@ def stream_upsert(spark, sf_dir):
     """A topic written into the keyed table twice, the second time from the start under a new
     checkpoint: the table holds every review once."""
     topic, keyed = scratch_path(spark, "topic"), scratch_path(spark, "keyed")
-    topics.publish_files(topics.as_messages(_reviews(spark, sf_dir)), topic, "imdb")
-    row_id = values.stable_id(F.lit("imdb"), F.col("review_id"))
-    rows = feeds.parse(topics.read_files(spark, topic, max_files_per_trigger=100), "imdb", row_id)
+    topics.publish_files(topics.as_messages(_reviews(spark, sf_dir)), topic, IMDB)
+    row_id = values.stable_id(F.lit(IMDB), F.col("review_id"))
+    rows = feeds.parse(topics.read_files(spark, topic, max_files_per_trigger=100), IMDB, row_id)
     for _ in range(2):
         runs.finish(runs.upsert(rows, keyed, scratch_path(spark, "progress"), interval=None))
     table_rows = runs.read_keyed(spark, keyed, rows.schema)
@@ -273,10 +275,61 @@ def stream_index(spark, sf_dir):
     """All three topics streamed into one keyed table, each with its own checkpoint."""
     keyed = scratch_path(spark, "keyed")
     schema = None
-    for topic, rows in _feed_rows(spark, sf_dir).items():
+    for topic, rows in _FEED_ROWS.items():
         path = scratch_path(spark, "topic")
-        topics.publish_files(topics.as_messages(rows), path, topic)
+        topics.publish_files(topics.as_messages(rows(spark, sf_dir)), path, topic)
         parsed = feeds.parse(topics.read_files(spark, path), topic)
         runs.finish(runs.upsert(parsed, keyed, scratch_path(spark, "progress"), interval=None))
         schema = parsed.schema
     return _shown(runs.read_keyed(spark, keyed, schema))
+
+
+@query(
+    "stream_two_publishes",
+    f"""
+    SELECT review_id AS "reviewId", movie AS "movieTitle" FROM ({_REVIEWS_SQL})
+    UNION ALL SELECT 'o' || o_orderkey, o_orderpriority FROM orders
+    """,
+)
+def stream_two_publishes(spark, sf_dir):
+    """Two tables published to one topic one after the other, upserted under the ids that messages
+    have by their place: nothing replaces anything."""
+    topic, keyed = scratch_path(spark, "topic"), scratch_path(spark, "keyed")
+    raw = _raw_rows(spark, sf_dir).select("review_id", "movie")
+    for rows in (_reviews(spark, sf_dir), raw):
+        topics.publish_files(topics.as_messages(rows), topic, IMDB)
+    parsed = feeds.parse(topics.read_files(spark, topic), IMDB)
+    runs.finish(runs.upsert(parsed, keyed, scratch_path(spark, "progress"), interval=None))
+    return runs.read_keyed(spark, keyed, parsed.schema).select("reviewId", "movieTitle")
+
+
+@query(
+    "stream_land_raw",
+    """
+    SELECT 'landed' AS folder, '{"id":' || o_orderkey || ',"extra":{"status":"' || o_orderstatus
+      || '"},"rating":"7"}' AS text
+    FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT 'rejected', '{"id":' || o_orderkey || ',' FROM orders WHERE o_orderstatus = 'P'
+    """,
+)
+def stream_land_raw(spark, sf_dir):
+    """Messages land as they came, with fields that no schema names; broken ones land apart."""
+    topic, landed, rejected = (scratch_path(spark, n) for n in ("topic", "landed", "rejected"))
+    key = F.col("o_orderkey").cast("string")
+    whole = F.concat(
+        F.lit('{"id":'), key, F.lit(',"extra":{"status":"'), "o_orderstatus", F.lit('"},"rating":"7"}')
+    )
+    broken = F.concat(F.lit('{"id":'), key, F.lit(","))
+    value = F.when(F.col("o_orderstatus") == "P", broken).otherwise(whole)
+    messages = table(spark, sf_dir, "orders").select(
+        F.encode(key, "UTF-8").alias("key"), F.encode(value, "UTF-8").alias("value")
+    )
+    topics.publish_files(messages, topic, IMDB)
+    stream = topics.message_text(topics.read_files(spark, topic, max_files_per_trigger=100))
+    run = runs.land_messages(stream, landed, rejected, scratch_path(spark, "progress"), interval=None)
+    runs.finish(run)
+    parts = [
+        runs.read_landed(spark, path).select(F.lit(name).alias("folder"), "text")
+        for name, path in (("landed", landed), ("rejected", rejected))
+    ]
+    return parts[0].unionByName(parts[1])

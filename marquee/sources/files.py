@@ -23,8 +23,10 @@ def read_csv(
     schema: T.StructType,
     columns: Sequence[str] | None = None,
     multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """CSV with a header line. Input partitions take the place of chunks.
+    """CSV with a header line. Input partitions take the place of chunks. A malformed row fails the
+    job; `mode` may ask for something else.
 
     `columns` reaches the parser: fields that are not selected are not converted. With
     `multi_line`, quoted fields may hold line ends, at the price of one task per file.
@@ -33,6 +35,7 @@ def read_csv(
         spark.read.schema(schema)
         .options(**_CSV)
         .option("multiLine", str(multi_line).lower())
+        .option("mode", mode)
         # Compare header names with the schema instead of trusting positions.
         .option("enforceSchema", "false")
         .csv(path)
@@ -44,20 +47,27 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.options(**_CSV_WRITE).mode(mode).csv(path)
 
 
-def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """One JSON object on each line."""
-    return spark.read.schema(schema).json(path)
+def read_json_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, mode: str = "FAILFAST"
+) -> DataFrame:
+    """One JSON object on each line; a malformed one fails the job unless `mode` says otherwise."""
+    return spark.read.schema(schema).option("mode", mode).json(path)
 
 
 def read_json_documents(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, partitions: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    partitions: int | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Files that hold one JSON array, or one object, over many lines.
+    """Files that hold one JSON array, or one object, over many lines. A file that is broken
+    anywhere fails the job unless `mode` says otherwise.
 
     Such a file cannot be split, so each is parsed by one task; `partitions` spreads the rows for
     what follows.
     """
-    df = spark.read.schema(schema).option("multiLine", "true").json(path)
+    df = spark.read.schema(schema).option("multiLine", "true").option("mode", mode).json(path)
     return df.repartition(partitions) if partitions else df
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,41 @@ def land_json(
     )
 
 
+def land_messages(
+    messages: DataFrame,
+    path: str,
+    rejects: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+) -> StreamingQuery:
+    """Append the text of each message (`value`) as one line, as it came; messages that are no JSON
+    go to a folder of their own. Line ends, which JSON has only between its tokens, become blanks.
+
+    A batch that is repeated after a failure replaces its own folders.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        parsed = F.from_json("value", "_bad string", {"columnNameOfCorruptRecord": "_bad"})
+        line = F.regexp_replace("value", r"[\r\n]+", " ").alias("value")
+        lines = batch.where("value is not null").select(line, parsed["_bad"].isNull().alias("good"))
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for folder, kept in ((path, F.col("good")), (rejects, ~F.col("good"))):
+                rows = lines.where(kept).select("value")
+                rows.write.mode("overwrite").text(f"{folder}/stream={stream}/epoch={epoch}")
+        finally:
+            lines.unpersist()
+
+    return each_batch(messages, write, checkpoint, interval)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """What `land_messages` has written below a folder, as `text`."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.withColumnRenamed("value", "text")
+
+
 def each_batch(
     rows: DataFrame,
     write: Callable[[DataFrame, int], None],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.records import to_payload
 from marquee.schemas import ENVELOPE
+from marquee.session import path_exists
 
 
 def kafka_source_options(
@@ -52,15 +53,22 @@ def publish_kafka(messages: DataFrame, servers: str, topic: str, **more: str) ->
 def publish_files(messages: DataFrame, path: str, topic: str) -> None:
     """Append messages to a folder in the broker's shape.
 
-    Stands in for a broker where there is none. Partition and offset are the writing task and the
-    place in it; they are stored with the message and do not change afterwards.
+    A plain file feed for where there is no broker. Partition and offset are the writing task and
+    the place in it; they are stored with the message and do not change afterwards. Each call takes
+    partitions of its own, after those that are there, so no two messages share a place. One writer
+    at a time.
     """
+    spark = messages.sparkSession
+    used = None
+    if path_exists(spark, path):
+        used = spark.read.schema(ENVELOPE).parquet(path).agg(F.max("partition")).first()[0]
+    base = 0 if used is None else used + 1
     at = F.monotonically_increasing_id()
     stored = messages.select(
         "key",
         "value",
         F.lit(topic).alias("topic"),
-        F.shiftright(at, 33).cast("int").alias("partition"),
+        (F.shiftright(at, 33) + base).cast("int").alias("partition"),
         at.bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )

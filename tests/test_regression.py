@@ -54,7 +54,7 @@ def test_unknown_names(spark, products, tmp_path):
 
 def test_features_equal_one_stage_for_each_column(spark, products):
     """Weighting and scaling all columns together gives the vector of separate stages."""
-    rows = regression.prepare(products, {"price": 0.0, "rating_number": 0.0}, SMALL)
+    rows = regression.prepare(products, {"price": 0.0, "rating_number": 0.0}, SMALL, {})
     stages, inputs = [], []
     for c in SMALL.text:
         stages += [
@@ -71,7 +71,8 @@ def test_features_equal_one_stage_for_each_column(spark, products):
         inputs.append(f"{c}_s")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="expected"))
     expected = Pipeline(stages=stages).fit(rows).transform(rows).select("parent_asin", "expected")
-    _, model = regression.fit_features(products, SMALL)
+    fill = regression.fill_values(products, SMALL.numeric, SMALL.fill)
+    model = regression.feature_pipeline(SMALL).fit(regression.prepare(products, fill, SMALL, {}))
     got = model.transform(rows).select("parent_asin", "features").join(expected, "parent_asin")
     same = F.expr("forall(zip_with(a, b, (x, y) -> abs(x - y) < 1e-9), z -> z)")
     arrays = got.select(vector_to_array("features").alias("a"), vector_to_array("expected").alias("b"))
@@ -96,14 +97,19 @@ def test_fitted_fill_is_applied_at_predict(spark, products, tmp_path):
     assert regression.score(gaps, loaded, settings).count() == gaps.count() > 0
 
 
-def test_categories(spark, products, monkeypatch):
+def test_categories(spark, products, tmp_path):
     settings = dataclasses.replace(SMALL, category=("main_category", "store"))
     fitted = regression.fit(products, "lr", settings)
     unseen = products.withColumn("store", F.lit("never seen"))
     assert regression.score(unseen, fitted, settings).count() == 300
-    monkeypatch.setattr(regression, "MAX_CATEGORIES", 2)
-    with pytest.raises(ValueError, match="categories"):
-        regression.fit(products, "lr", settings)
+    regression.save(spark, fitted, str(tmp_path), "lr")
+    loaded = regression.load(spark, str(tmp_path), "lr")
+    both = regression.score(products, fitted, settings).select("parent_asin", "rating_prediction")
+    again = regression.score(products, loaded, settings).select("parent_asin", "rating_prediction")
+    assert sorted(both.collect()) == sorted(again.collect())
+    missing = products.withColumn("store", F.lit(None).cast("string"))
+    encoded = regression.fit(missing, "lr", settings)
+    assert regression.score(products, encoded, settings).count() == 300
 
 
 def test_product_schema():
