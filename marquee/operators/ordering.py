@@ -133,14 +133,22 @@ def byte_prefix(
 
 
 _IN_BLOCK = (1 << 33) - 1
+# Rows of one range, about; ranges of more than 2^33 rows, which only equal values can make, fail.
+BLOCK_ROWS = 1_000_000
+# The engine limits ranks below the shuffle up to this k (spark.sql.optimizer.windowGroupLimitThreshold).
+LIMITED_K = 1_000
+SALTS = 256
 
 
 def _placed(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:
     """Rows in globally ordered blocks: `_block` is the range, `_at` the place in it.
 
-    Written once, because range bounds come from a sample and would differ if computed again.
+    Written once, because range bounds come from a sample and would differ if computed again. The
+    number of ranges follows the number of rows.
     """
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(shuffles, df.count() // BLOCK_ROWS + 1)
+    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     ids = ordered.withColumn("_id", F.monotonically_increasing_id())
     placed = ids.select(
         *df.columns,
@@ -151,16 +159,28 @@ def _placed(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFra
 
 
 def _offsets(totals: DataFrame, value: str) -> DataFrame:
-    """What comes before each block. One row for each range partition, so small by construction."""
+    """What comes before each block. One row for each range partition, so small by construction.
+
+    A block with more rows than places would run into the next one's numbers; its rows then
+    outnumber its last place.
+    """
+    whole = F.when(F.col("_rows") == F.col("_last") + 1, F.col(value)).otherwise(
+        F.raise_error(F.lit("a range holds more than 2^33 rows")).cast("bigint")
+    )
+    totals = totals.withColumn(value, whole)
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias("_before")
     return F.broadcast(totals.select("_block", before))
 
 
+def _size() -> list[Column]:
+    return [F.count(F.lit(1)).alias("_rows"), F.max("_at").alias("_last")]
+
+
 def with_rank(df: DataFrame, order: Sequence[str | Column], name: str = "rank") -> DataFrame:
     """Add the 1-based position in a total order, computed in parallel."""
     placed = _placed(df, order, "rank")
-    totals = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    totals = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"), *_size())
     ranked = placed.join(_offsets(totals, "_n"), "_block")
     return ranked.select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(name))
 
@@ -170,7 +190,7 @@ def with_running_total(
 ) -> DataFrame:
     """Add the total weight up to and including each row of a total order."""
     placed = _placed(df.withColumn("_w", weight), order, "running")
-    totals = placed.groupBy("_block").agg(F.sum("_w").alias("_n"))
+    totals = placed.groupBy("_block").agg(F.sum("_w").alias("_n"), *_size())
     upto = (
         Window.partitionBy("_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -186,7 +206,14 @@ def top_per_group(
     """The k first rows of each group.
 
     Ranks are limited to k below the shuffle as well (a window group limit in the plan), so a hot
-    group sends at most k rows from each task.
+    group sends at most k rows from each task. The engine does so for small k only; for a larger one
+    a group is first ranked in parts, so that no more than SALTS * k of its rows meet.
     """
+    if k > LIMITED_K:
+        part = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(SALTS))
+        salted = df.withColumn("_part", part)
+        within = Window.partitionBy(*group, "_part").orderBy(*order)
+        salted = salted.withColumn("_nth", F.row_number().over(within)).filter(F.col("_nth") <= k)
+        df = salted.drop("_part", "_nth")
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return ranked.filter(F.col(name) <= k)

@@ -19,6 +19,7 @@ from marquee.operators import (
 )
 from marquee.plans.registry import query, table
 from marquee.plans.views import ENOUGH, RATINGS_SQL, distinct_ratings, item_ratings, ratings
+from marquee.session import materialize
 
 
 @query(
@@ -262,6 +263,39 @@ def index_unseen(spark, sf_dir):
     )
 
 
+@query(
+    "index_known",
+    """
+    SELECT o_orderkey, i AS user_index FROM orders JOIN (
+      SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, o_custkey::VARCHAR) - 1 AS i
+      FROM orders GROUP BY o_custkey) USING (o_custkey)
+    """,
+)
+def index_known(spark, sf_dir):
+    """The index of labels that are all known: none fails the job."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    index = labels.fit_index(rows, "o_custkey")
+    numbered = labels.apply_index(rows, index, "o_custkey", "user_index", "error", same_rows=True)
+    return numbered.select("o_orderkey", "user_index")
+
+
+@query(
+    "top_orders",
+    """
+    SELECT o_orderpriority, rank, o_orderkey FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rank
+      FROM orders)
+    WHERE rank <= 1500
+    """,
+)
+def top_orders(spark, sf_dir):
+    """More of each group than the engine limits below a shuffle."""
+    rows = table(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice", "o_orderkey")
+    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
+    top = ordering.top_per_group(rows, ["o_orderpriority"], order, 1500, "rank")
+    return top.select("o_orderpriority", F.col("rank").cast("bigint").alias("rank"), "o_orderkey")
+
+
 @query(
     "topk_per_user",
     f"""
@@ -281,9 +315,16 @@ def topk_per_user(spark, sf_dir):
 
 
 def item_mean_predictions(spark, sf_dir):
-    rated = ratings(spark, sf_dir)
-    means = rated.groupBy("item_id").agg(F.mean("rating").alias("prediction"))
-    return joins.join_many_to_one(rated, means, "item_id", derived=True)
+    """Each rating with its item's mean. The ratings are put together once; the aggregate that
+    gives the means also counts them for the join."""
+    rated = materialize(ratings(spark, sf_dir), "rated")
+    means = rated.groupBy("item_id").agg(
+        F.mean("rating").alias("prediction"), F.count(F.lit(1)).alias("_n")
+    )
+    means = materialize(means, "means")
+    return joins.join_many_to_one(
+        rated, means.select("item_id", "prediction"), "item_id", counts=means.select("item_id", "_n")
+    )
 
 
 ITEM_MEAN_ERRORS = f"""

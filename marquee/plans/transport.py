@@ -82,6 +82,26 @@ def json_documents(spark, sf_dir):
     return files.read_json_documents(spark, f"{path}/part=*", REVIEW)
 
 
+@query(
+    "json_flat_documents",
+    """
+    SELECT o_orderkey AS id, o_custkey AS "who.customer", o_orderpriority AS "who.how.priority"
+    FROM orders
+    """,
+)
+def json_flat_documents(spark, sf_dir):
+    """Array files of nested records, read as dotted columns."""
+    path = scratch_path(spark, "json")
+    how = F.struct(F.col("o_orderpriority").alias("priority"))
+    nested = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.struct(F.col("o_custkey").alias("customer"), how.alias("how")).alias("who"),
+    )
+    count = nested.count() // ROWS_PER_DOCUMENT + 1
+    files.write_json_documents(nested, path, ["id"], count)
+    return files.read_json_flat(spark, f"{path}/part=*", nested.schema)
+
+
 @query(
     "json_list_lines",
     """
@@ -333,3 +353,23 @@ def stream_land_raw(spark, sf_dir):
         for name, path in (("landed", landed), ("rejected", rejected))
     ]
     return parts[0].unionByName(parts[1])
+
+
+@query(
+    "stream_compact",
+    f"""
+    SELECT sha256('["{IMDB}","' || review_id || '"]') AS id, movie AS "movieTitle"
+    FROM ({_REVIEWS_SQL})
+    """,
+)
+def stream_compact(spark, sf_dir):
+    """A keyed table that was made before anything arrived, written to twice and compacted."""
+    topic, keyed, target = (scratch_path(spark, n) for n in ("topic", "keyed", "compact"))
+    row_id = values.stable_id(F.lit(IMDB), F.col("review_id"))
+    topics.publish_files(topics.as_messages(_reviews(spark, sf_dir)), topic, IMDB)
+    rows = feeds.parse(topics.read_files(spark, topic), IMDB, row_id)
+    sinks.ensure_table(spark, target, rows.schema)
+    for _ in range(2):
+        runs.finish(runs.upsert(rows, keyed, scratch_path(spark, "progress"), interval=None))
+    runs.compact(spark, keyed, target, rows.schema)
+    return runs.read_keyed(spark, target, rows.schema).select("id", "movieTitle")
