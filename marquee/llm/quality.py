@@ -172,16 +172,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Intercept and weights for a few columns of the held-out fold, by Newton's method."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, center: Sequence[float], rows: float = 4.0) -> np.ndarray:
+    """Intercept and weights for a few columns of the held-out fold, by Newton's method.
+
+    They are drawn towards `center` as by so many rows, so that a few held-out labels cannot turn a
+    view around.
+    """
     x = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(x.shape[1])
-    penalty = ridge * len(x) * np.eye(x.shape[1]) + 1e-9 * np.eye(x.shape[1])
-    penalty[0, 0] = 1e-6 * len(x) + 1e-9
-    for _ in range(30):
+    center = np.asarray(center, dtype=float)
+    w = center.copy()
+    penalty = rows * np.eye(x.shape[1])
+    for _ in range(50):
         p = _sigmoid(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
-        w = w + step
+        slope = (x * (p * (1 - p))[:, None]).T @ x + penalty
+        step = np.linalg.solve(slope, x.T @ (y - p) - penalty @ (w - center))
+        w = w + step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
     return w
@@ -272,9 +277,9 @@ def train(
     joint = np.array([0.0, 0.5, 0.5])
     if len(set(y)) > 1:
         for view, column in zip(views, "ab", strict=True):
-            view.shift, view.scale = fit_logistic(found[[column]].to_numpy(), y)
+            view.shift, view.scale = fit_logistic(found[[column]].to_numpy(), y, (0, 1))
         both = np.column_stack([v.logits(found[c].to_numpy()) for v, c in zip(views, "ab", strict=True)])
-        joint = fit_logistic(both, y)
+        joint = fit_logistic(both, y, joint)
     return Model(*views, joint, tuple(metadata))
 
 

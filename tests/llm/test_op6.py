@@ -56,4 +56,6 @@ def test_calibration():
     r = np.random.default_rng(0)
     x = r.normal(size=(4000, 1))
     y = (r.random(4000) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1)))).astype(float)
-    assert fit_logistic(x, y) == pytest.approx([-1, 2], abs=0.25)
+    assert fit_logistic(x, y, (0, 1)) == pytest.approx([-1, 2], abs=0.25)
+    few = fit_logistic(np.array([[3.0], [-3.0]]), np.array([0.0, 1.0]), (0, 1))
+    assert few[1] > 0
