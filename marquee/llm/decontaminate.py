@@ -1,4 +1,4 @@
-"""Benchmark decontamination by rare n-gram seeds and local alignment (operator 9)."""
+"""Benchmark decontamination by n-gram seeds and local alignment (operator 9)."""
 
 from __future__ import annotations
 
@@ -17,10 +17,6 @@ from marquee.llm.words import Words, mix, shingles, words_of
 
 #: Words of a seed.
 WIDTH = 3
-#: Of each so many consecutive n-grams of an item, the one rarest in the corpus is a seed.
-EVERY = 2
-#: Share of an item's seeds that must occur in a passage for it to be aligned.
-SEEDED = 0.12
 #: Alignment: points for equal words, and off for others and for gaps.
 MATCH, MISMATCH, GAP = 2, 1, 1
 #: Share of the points of a whole copy from which on a passage is one.
@@ -29,6 +25,8 @@ LIMIT = 0.5
 SHORT = 8
 #: Bytes of benchmark text that are searched for at a time; more are taken in several blocks.
 BLOCK_BYTES = 16 << 20
+#: Hits of seeds that are sorted at a time; a row with more is taken by itself.
+HITS = 1 << 21
 
 _TABLE_BITS = 20
 
@@ -78,29 +76,17 @@ class Items:
 
     ids: list[int]
     words: list[np.ndarray]
-    need: np.ndarray
     seeds: Grams
     first: np.ndarray
     owner: np.ndarray
 
     @classmethod
-    def of(cls, ids: list[int], words: list[np.ndarray], counts: dict[int, int]) -> Items:
-        pairs, need = set(), np.ones(len(ids), np.int64)
-        for i, own in enumerate(words):
-            grams = shingles(own, WIDTH)
-            rare = np.array([counts.get(int(g), 0) for g in grams])
-            chosen = set()
-            for begin in range(0, len(grams), EVERY):
-                chosen.add(int(grams[begin + int(np.argmin(rare[begin : begin + EVERY]))]))
-            need[i] = max(1, int(np.ceil(SEEDED * len(chosen))))
-            pairs |= {(g, i) for g in chosen}
-        ordered = sorted(pairs)
+    def of(cls, ids: list[int], words: list[np.ndarray]) -> Items:
+        ordered = sorted({(int(g), i) for i, own in enumerate(words) for g in shingles(own, WIDTH)})
         seeds = Grams.of(np.array([g for g, _ in ordered], np.uint64))
         grams = np.array([g for g, _ in ordered], np.uint64)
         first = np.searchsorted(grams, seeds.values)
-        return cls(
-            ids, words, need, seeds, np.append(first, len(ordered)), np.array([i for _, i in ordered], np.int64)
-        )
+        return cls(ids, words, seeds, np.append(first, len(ordered)), np.array([i for _, i in ordered], np.int64))
 
 
 def _grams(words: Words) -> np.ndarray:
@@ -123,21 +109,6 @@ def _inside(words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, (at + WIDTH <= end) | ((at == begin) & (end - begin < WIDTH))
 
 
-def _counted(batches, grams: Grams):
-    """In how many rows each of the grams occurs; one small table for each task."""
-    total = np.zeros(len(grams.values), np.int64)
-    for batch in batches:
-        for words in words_of(batch.column("text")):
-            at, place = grams.find(_grams(words))
-            row, whole = _inside(words, at)
-            each = np.unique(row[whole] * np.int64(len(grams.values)) + place[whole])
-            total += np.bincount(each % max(1, len(grams.values)), minlength=len(total))
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(grams.values[seen].view(np.int64)), pa.array(total[seen])], ["gram", "rows"]
-    )
-
-
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment (Smith-Waterman): its points, and the first and last word of `text`."""
     score, last = _best_end(item, text)
@@ -163,16 +134,13 @@ def _best_end(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, where
 
 
-def _passages(at: np.ndarray, seeds: np.ndarray, reach: int, need: int) -> Iterator[tuple[int, int]]:
-    """Ranges of words, one copy of an item long, that hold enough of its distinct seeds."""
+def _passages(at: np.ndarray, reach: int) -> Iterator[tuple[int, int]]:
+    """Ranges of words, one copy of an item long, that begin and end with a seed."""
     begin = 0
     while begin < len(at):
         end = int(np.searchsorted(at, at[begin] + reach, "right"))
-        if len(set(seeds[begin:end].tolist())) >= need:
-            yield int(at[begin]), int(at[end - 1])
-            begin = end
-        else:
-            begin += 1
+        yield int(at[begin]), int(at[end - 1])
+        begin = end
 
 
 def _matches(words: Words, items: Items) -> dict[int, list[dict]]:
@@ -180,37 +148,54 @@ def _matches(words: Words, items: Items) -> dict[int, list[dict]]:
     at, place = items.seeds.find(_grams(words))
     row, whole = _inside(words, at)
     at, place, row = at[whole], place[whole], row[whole]
-    if not len(at):
-        return {}
-    # each hit for each item that owns the seed
     many = items.first[place + 1] - items.first[place]
+    total = np.cumsum(many)
+    out: dict[int, list[dict]] = {}
+    begin = 0
+    while begin < len(at):
+        # whole rows at a time
+        end = int(np.searchsorted(total, total[begin] - many[begin] + HITS, "right"))
+        end = int(np.searchsorted(row, row[end], "left")) if end < len(at) else end
+        if end <= begin:
+            end = int(np.searchsorted(row, row[begin], "right"))
+        part = slice(begin, end)
+        _add_matches(out, words, items, at[part], place[part], row[part], many[part])
+        begin = end
+    return out
+
+
+def _add_matches(
+    out: dict[int, list[dict]], words: Words, items: Items,
+    at: np.ndarray, place: np.ndarray, row: np.ndarray, many: np.ndarray,
+) -> None:
+    # each hit for each item that owns the seed
     hit = np.repeat(np.arange(len(at)), many)
     step = np.arange(len(hit)) - np.repeat(np.cumsum(many) - many, many)
     owner = items.owner[items.first[place[hit]] + step]
-    at, seed, row = at[hit], place[hit], row[hit]
+    at, row = at[hit], row[hit]
     order = np.lexsort((at, owner, row))
-    at, seed, row, owner = at[order], seed[order], row[order], owner[order]
+    at, row, owner = at[order], row[order], owner[order]
     cuts = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (owner[1:] != owner[:-1]), [True])))
-    enough = np.diff(cuts) >= items.need[owner[cuts[:-1]]]
-    out: dict[int, list[dict]] = {}
-    for k in np.flatnonzero(enough):
-        begin, end = cuts[k], cuts[k + 1]
+    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
         r, i = int(row[begin]), int(owner[begin])
-        if best := _best_copy(words, r, items, i, at[begin:end], seed[begin:end]):
+        if best := _best_copy(words, r, items, i, at[begin:end]):
             out.setdefault(r, []).append(best)
-    return out
 
 
-def _best_copy(words: Words, row: int, items: Items, i: int, at: np.ndarray, seeds: np.ndarray) -> dict | None:
+def _best_copy(words: Words, row: int, items: Items, i: int, at: np.ndarray) -> dict | None:
     item = items.words[i]
     size = len(item)
     low, high = int(words.ptr[row]), int(words.ptr[row + 1])
     whole = MATCH * size
     limit = LIMIT if size >= SHORT else 1.0
     best = None
-    for first, last in _passages(at, seeds, size + size // 2, int(items.need[i])):
-        begin, end = max(low, first - size), min(high, last + size + WIDTH)
-        score, start, stop = align(item, words.hashes[begin:end])
+    for first, last in _passages(at, size + size // 2):
+        # a passage of half a copy's points has at most twice its words
+        begin, end = max(low, first - 2 * size), min(high, last + 2 * size + WIDTH)
+        text = words.hashes[begin:end]
+        if MATCH * np.isin(item, text).sum() < limit * whole:
+            continue
+        score, start, stop = align(item, text)
         if score >= limit * whole and (best is None or score > best["score"]):
             best = {
                 "item_id": items.ids[i], "score": score, "ratio": score / whole,
@@ -271,20 +256,13 @@ def find_leaks(
     Repeated rows are marked alike. A column named like `leaks` is replaced, others are kept. Empty
     tables give no rows, or empty lists.
 
-    First the n-grams of the items are counted over all documents. Of each few consecutive n-grams
-    of an item the rarest becomes a seed; a passage with enough distinct seeds of an item is
-    aligned with it. The benchmark travels to the tasks in blocks of bounded size, the documents
-    are not shuffled.
+    Each n-gram of an item is a seed. A passage around one is aligned with the item if it has words
+    enough in common to reach the limit at all, so no copy is lost that keeps WIDTH words in a row.
+    The benchmark travels to the tasks in blocks of bounded size, the documents are not shuffled.
     """
     (kept,) = [without(documents, [leaks])]
     rows = kept.withColumn(leaks, F.array().cast(FOUND))
-    texts = kept.select(F.col(f"`{text_column}`").alias("text"))
     for ids, words in _blocks(benchmark, item_column, item_text):
-        grams = Grams.of(np.concatenate([shingles(own, WIDTH) for own in words]))
-        counts = (
-            texts.mapInArrow(partial(_counted, grams=grams), "gram long, rows long").groupBy("gram").agg(F.sum("rows").alias("rows"))
-        )
-        found = {int(np.int64(r.gram).view(np.uint64)): r.rows for r in counts.collect()}
-        items = Items.of(ids, words, found)
+        items = Items.of(ids, words)
         rows = rows.mapInArrow(partial(_marked, blocks=items, text_column=text_column, leaks=leaks), rows.schema)
     return rows

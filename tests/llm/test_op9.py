@@ -85,6 +85,23 @@ def test_planted_copies(spark, monkeypatch, block_bytes):
             assert x.score == smith_waterman(item, words(" ".join(passage))) and x.ratio >= LIMIT
 
 
+@pytest.mark.parametrize("hits", [decontaminate.HITS, 1])
+def test_only_copy_is_edited(spark, monkeypatch, hits):
+    """The n-grams that the edits break occur nowhere; what is left must find the copy."""
+    monkeypatch.setattr(decontaminate, "HITS", hits)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate([40] * 4 + [15, 59])]
+    docs = []
+    for k, text in items:
+        copy = [f"e{k}x{j}" if j % 4 == k % 4 else w for j, w in enumerate(text.split())]
+        docs.append((k, " ".join([f"a{j}" for j in range(100)] + copy + [f"b{j}" for j in range(100)]), "old", 1, "g"))
+    # one run of three words, a word put in after each of the others
+    text = "t0 " + " ".join(f"t{j}" + (f" n{j}" if j < 26 else "") for j in range(1, 30))
+    items.append((9, " ".join(f"t{j}" for j in range(30))))
+    docs.append((9, text, "old", 1, "g"))
+    got = find_leaks(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(g.doc_id, x.item_id) for g in got.collect() for x in g.leaks} == {(k, k) for k, _ in items}
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], SCHEMA)
     items = spark.createDataFrame([], "item_id long, text string")
