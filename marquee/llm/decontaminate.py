@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from marquee.llm.columns import without
 from marquee.llm.words import Words, mix, shingles, words_of
 
-#: Words of a seed.
+#: Words of a seed; the one of an item with fewer words is the whole item.
 WIDTH = 3
 #: Alignment: points for equal words, and off for others and for gaps.
 MATCH, MISMATCH, GAP = 2, 1, 1
@@ -76,6 +76,7 @@ class Items:
 
     ids: list[int]
     words: list[np.ndarray]
+    widths: list[int]
     seeds: Grams
     first: np.ndarray
     owner: np.ndarray
@@ -86,27 +87,30 @@ class Items:
         seeds = Grams.of(np.array([g for g, _ in ordered], np.uint64))
         grams = np.array([g for g, _ in ordered], np.uint64)
         first = np.searchsorted(grams, seeds.values)
-        return cls(ids, words, seeds, np.append(first, len(ordered)), np.array([i for _, i in ordered], np.int64))
+        widths = sorted({min(WIDTH, len(own)) for own in words})
+        return cls(ids, words, widths, seeds, np.append(first, len(ordered)), np.array([i for _, i in ordered], np.int64))
 
 
-def _grams(words: Words) -> np.ndarray:
-    """The n-gram that begins at each word, over the whole chunk; a row with fewer words has only
-    the one of all its words, at its first word."""
-    out = np.full(len(words.hashes), WIDTH, np.uint64)
-    padded = np.concatenate((words.hashes, np.zeros(WIDTH, np.uint64)))
-    for k in range(WIDTH):
+def _grams(words: Words, width: int) -> np.ndarray:
+    """The n-gram that begins at each word, over the whole chunk."""
+    out = np.full(len(words.hashes), width, np.uint64)
+    padded = np.concatenate((words.hashes, np.zeros(width, np.uint64)))
+    for k in range(width):
         out = mix(out ^ padded[k : k + len(out)])
-    count = np.diff(words.ptr)
-    for i in np.flatnonzero((count > 0) & (count < WIDTH)):
-        out[words.ptr[i]] = shingles(words.hashes[words.ptr[i] : words.ptr[i + 1]], WIDTH)[0]
     return out
 
 
-def _inside(words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The row of each word position, and whether its n-gram ends in that row."""
-    row = np.searchsorted(words.ptr, at, "right") - 1
-    begin, end = words.ptr[row], words.ptr[row + 1]
-    return row, (at + WIDTH <= end) | ((at == begin) & (end - begin < WIDTH))
+def _hits(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of seeds in the order of the text, the seeds' places, and the rows that hold them."""
+    found = []
+    for width in items.widths:
+        at, place = items.seeds.find(_grams(words, width))
+        row = np.searchsorted(words.ptr, at, "right") - 1
+        whole = at + width <= words.ptr[row + 1]
+        found.append((at[whole], place[whole], row[whole]))
+    at, place, row = (np.concatenate(parts) for parts in zip(*found, strict=True))
+    order = np.argsort(at, kind="stable")
+    return at[order], place[order], row[order]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -145,9 +149,7 @@ def _passages(at: np.ndarray, reach: int) -> Iterator[tuple[int, int]]:
 
 def _matches(words: Words, items: Items) -> dict[int, list[dict]]:
     """By row of the chunk, the items that it holds copies of."""
-    at, place = items.seeds.find(_grams(words))
-    row, whole = _inside(words, at)
-    at, place, row = at[whole], place[whole], row[whole]
+    at, place, row = _hits(words, items)
     many = items.first[place + 1] - items.first[place]
     total = np.cumsum(many)
     out: dict[int, list[dict]] = {}
@@ -258,6 +260,7 @@ def find_leaks(
 
     Each n-gram of an item is a seed. A passage around one is aligned with the item if it has words
     enough in common to reach the limit at all, so no copy is lost that keeps WIDTH words in a row.
+    Items of fewer words are looked for by seeds of their own width.
     The benchmark travels to the tasks in blocks of bounded size, the documents are not shuffled.
     """
     (kept,) = [without(documents, [leaks])]

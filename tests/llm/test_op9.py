@@ -102,6 +102,19 @@ def test_only_copy_is_edited(spark, monkeypatch, hits):
     assert {(g.doc_id, x.item_id) for g in got.collect() for x in g.leaks} == {(k, k) for k, _ in items}
 
 
+def test_items_of_one_and_two_words(spark):
+    items = [(1, "Word"), (2, "two words"), (3, "one two three"), (4, "absent"), (5, "words two")]
+    docs = [
+        (1, "a WORD in a long text"), (2, "here are two\nwords and more"), (3, "two other words"), (4, "word"),
+        (5, "two words"), (6, "one two three four"), (7, "ends with two"), (8, "words begin here"), (9, "password"),
+    ]
+    df = spark.createDataFrame([(d, t, "old", 1, "g") for d, t in docs], SCHEMA).coalesce(1)
+    got = find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(g.doc_id, x.item_id) for g in got for x in g.leaks} == {(1, 1), (2, 2), (4, 1), (5, 2), (6, 3)}
+    (word,) = got[0].leaks
+    assert (word.first_word, word.last_word, word.ratio) == (1, 1, 1.0)
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], SCHEMA)
     items = spark.createDataFrame([], "item_id long, text string")
