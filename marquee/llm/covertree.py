@@ -12,6 +12,8 @@ LEAF = 64
 FANOUT = 32
 #: Products up to this size are exact in floating point.
 EXACT = 1 << 53
+#: The id of a place that no vector has taken.
+FREE = np.iinfo(np.int64).max
 
 
 @dataclass
@@ -99,11 +101,12 @@ def exact_type(queries: np.ndarray, data: np.ndarray):
 
 
 class Best:
-    """The k best (score, id) of each query so far; a higher score or a smaller id is better."""
+    """The k best (score, id) of each query so far; a higher score or a smaller id is better. An id
+    takes one place, with its best score."""
 
     def __init__(self, rows: int, k: int):
         self.scores = np.full((rows, k), np.iinfo(np.int64).min, np.int64)
-        self.ids = np.full((rows, k), np.iinfo(np.int64).max, np.int64)
+        self.ids = np.full((rows, k), FREE, np.int64)
 
     def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         """Candidates (query row, score, id) in any order."""
@@ -112,7 +115,13 @@ class Best:
         rows = np.concatenate((np.repeat(who, k), rows))
         scores = np.concatenate((self.scores[who].ravel(), scores))
         ids = np.concatenate((self.ids[who].ravel(), ids))
-        order = np.lexsort((ids, -scores.astype(np.float64) if scores.dtype != np.int64 else ~scores, rows))
+        falling = -scores.astype(np.float64) if scores.dtype != np.int64 else ~scores
+        # the first of each row and id; free places all stay
+        order = np.lexsort((falling, ids, rows))
+        again = (rows[order][1:] == rows[order][:-1]) & (ids[order][1:] == ids[order][:-1]) & (ids[order][1:] != FREE)
+        keep = order[np.concatenate(([True], ~again))]
+        rows, scores, ids, falling = rows[keep], scores[keep], ids[keep], falling[keep]
+        order = np.lexsort((ids, falling, rows))
         rows, scores, ids = rows[order], scores[order], ids[order]
         begins = np.searchsorted(rows, who)
         take = begins[:, None] + np.arange(k)
@@ -161,8 +170,10 @@ def _leaves(queries, data, left, right, rows, columns, best) -> None:
     ids = data.ids[columns]
     k = best.scores.shape[1]
     floor = best.scores[rows, -1].copy()
-    if len(ids) > k + 1:  # the query itself may be among the first k + 1
-        floor = np.maximum(floor, np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)])
+    # the query itself may be among the first k + 1 ids, and each may have several vectors
+    first = (k + 1) * int(np.unique(ids, return_counts=True)[1].max())
+    if len(ids) > first:
+        floor = np.maximum(floor, np.partition(scores, -first, axis=1)[:, -first])
     hit = (scores >= floor[:, None]) & (ids[None, :] != queries.ids[rows][:, None])
     at, of = np.nonzero(hit)
     if len(at):

@@ -62,3 +62,14 @@ def test_dual_trees_against_brute_force(scale):
         scores = data.vectors @ asked.vectors[n]
         want = sorted((-int(s), int(j)) for s, j in zip(scores, data.ids, strict=True) if j != i)[:4]
         assert [(-int(s), int(j)) for s, j in zip(best.scores[n], best.ids[n], strict=True)] == want
+
+
+def test_an_id_with_many_vectors_takes_one_place(spark):
+    r = random.Random(5)
+    rows = [(i, [r.gauss(0, 1) for _ in range(4)]) for i in range(60)]
+    # more vectors of one id than places, near to many queries; some of the queries repeat too
+    rows += [(100 + i % 2, [4 + r.gauss(0, 0.1), *(r.gauss(0, 0.1) for _ in range(3))]) for i in range(90)]
+    rows += [(i % 4, [3.0, r.gauss(0, 1), 0.0, 0.0]) for i in range(24)]
+    df = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], SCHEMA)
+    got = top_k(df, F.col("vec_id") % 2 == 0, k=5, pivots=4, block_rows=40, query_rows=16)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 5, lambda i: i % 2 == 0)
