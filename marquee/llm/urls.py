@@ -14,10 +14,10 @@ from marquee.llm.columns import fresh, without
 from marquee.llm.store import Store
 from marquee.operators.joins import join_many_to_one
 
-#: A known word has so many letters at most, and a run of letters in a host is cut into pieces of
-#: so many before it is segmented; longer ones are no valid labels.
-WORD = 20
+#: A run of letters in a host is cut into pieces of so many before it is segmented; longer ones are
+#: no valid labels. A word has as many letters at most.
 PIECE = 63
+WORD = PIECE
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -45,7 +45,8 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
 
 
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
-    """(word, n): how often each run of letters a-z occurs in the texts; long runs are no words."""
+    """(word, n): how often each run of letters a-z occurs in the texts; runs that no label can
+    hold are left out."""
     runs = F.regexp_extract_all(F.translate(F.col(column), _UPPER, _LOWER), F.lit("[a-z]+"), F.lit(0))
     words = texts.select(F.explode(runs).alias("word")).where(F.length("word") <= WORD)
     return words.groupBy("word").agg(F.count("*").alias("n"))

@@ -81,3 +81,12 @@ def test_empty_table_and_no_rules(spark):
     assert filter_urls(spark.createDataFrame([], SCHEMA)).collect() == []
     df = spark.createDataFrame([(1, "http://a.b/c", "text", "", 0, "")], SCHEMA)
     assert [g.verdict for g in filter_urls(df, rules=()).collect()] == ["allow"]
+
+
+def test_long_words_stay_whole(spark):
+    long, longest = "rechtsschutzversicherungen", "x" * 31 + "y" * 32
+    html = f"<p>{long} rechts schutz {long} {longest} die</p> " * 30
+    urls = [f"http://die{long}.example/a", f"http://{longest}.example/b"]
+    df = spark.createDataFrame([(i, url, html, "h", 1, "t") for i, url in enumerate(urls)], SCHEMA)
+    got = {g.page_id: list(g.host_words) for g in filter_urls(df).collect()}
+    assert got[0][:2] == ["die", long] and got[1][0] == longest
