@@ -11,5 +11,6 @@ from marquee.llm import (  # noqa: F401
     op8_url_words,
     op9_decontaminate,
     op10_secret_scan,
+    op11_byte_bpe,
 )
 from marquee.llm.plans import ORACLES, QUERIES  # noqa: F401
