@@ -7,6 +7,7 @@ import os
 from collections.abc import Iterator
 from functools import partial
 from hashlib import blake2b
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from marquee.sources.tables import spread
 VOCABULARY_BYTES = 64 << 20
 #: Pieces of at most PIECE_CHARS characters whose ids are remembered by a worker, at most; when full,
 #: it starts again. This changes only time.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 19
 PIECE_CHARS = 64
 #: Characters of a text that are split into pieces at a time.
 CHUNK_CHARS = 1 << 18
@@ -55,51 +56,71 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
     Leaf i of the tree holds the rank of the pair that begins at byte i, with i in its low bits, so
     the root is the leftmost minimum. A merge ends one pair and gives up to two others new ranks:
-    three point updates, each of a logarithmic path that stops where nothing changes.
+    three point updates along logarithmic paths, which stop where nothing changes.
     """
     n = len(piece)
-    width = max(n - 1, 1).bit_length()
+    width = max(n - 2, 0).bit_length()
     size = 1 << width
+    rank_of = ranks.get
     tree = [_NEVER] * (2 * size)
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
+    for i, pair in enumerate(zip(piece, piece[1:], strict=False)):
+        rank = rank_of(bytes(pair))
         if rank is not None:
             tree[size + i] = rank << width | i
-    for node in range(size - 1, 0, -1):
-        left, right = tree[2 * node], tree[2 * node + 1]
-        tree[node] = left if left < right else right
+    level = size
+    while level > 1:
+        tree[level >> 1 : level] = map(min, tree[level : 2 * level : 2], tree[level + 1 : 2 * level : 2])
+        level >>= 1
     after = list(range(1, n + 1))
     before = list(range(-1, n))
 
-    def put(i: int, value: int) -> None:
-        node = size + i
-        while tree[node] != value:
-            tree[node] = value
-            if node == 1:
-                break
-            other = tree[node ^ 1]
-            if other < value:
-                value = other
-            node >>= 1
-
-    while (best := tree[1]) != _NEVER:
+    best = tree[1]
+    while best != _NEVER:
         i = best & (size - 1)
         dead = after[i]
-        end = after[dead] if dead < n else n
+        end = after[dead]
         after[i] = end
         before[end] = i
-        put(dead, _NEVER)
-        stop = after[end] if end < n else None
-        rank = None if stop is None else ranks.get(piece[i:stop])
-        put(i, _NEVER if rank is None else rank << width | i)
+        # Nodes above i hold its old rank until the last update, so the other paths end there at
+        # the latest, or with a lower rank at the root.
+        mine = _NEVER
+        if end < n:
+            value = _NEVER
+            node = size + dead
+            while tree[node] != value:
+                tree[node] = value
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+            rank = rank_of(piece[i : after[end]])
+            if rank is not None:
+                mine = rank << width | i
         ahead = before[i]
         if ahead >= 0:
-            rank = ranks.get(piece[ahead:end])
-            put(ahead, _NEVER if rank is None else rank << width | ahead)
+            rank = rank_of(piece[ahead:end])
+            value = _NEVER if rank is None else rank << width | ahead
+            node = size + ahead
+            while tree[node] != value:
+                tree[node] = value
+                other = tree[node ^ 1]
+                if other < value:
+                    value = other
+                node >>= 1
+        node = size + i
+        while node > 1:
+            tree[node] = mine
+            other = tree[node ^ 1]
+            if other < mine:
+                mine = other
+            node >>= 1
+        tree[1] = best = mine
+        tree[0] = _NEVER
     ids, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i : after[i]]])
-        i = after[i]
+        end = after[i]
+        ids.append(ranks[piece[i:end]])
+        i = end
     return ids
 
 
@@ -114,7 +135,7 @@ class _Pieces(dict):
         data = piece.encode()
         whole = self.ranks.get(data)
         ids = [whole] if whole is not None else merge(data, self.ranks)
-        packed = np.array(ids, "<u4").tobytes()
+        packed = pack(f"<{len(ids)}I", *ids)
         if len(piece) <= PIECE_CHARS:
             if len(self) >= REMEMBERED:
                 self.clear()
