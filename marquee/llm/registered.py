@@ -12,5 +12,6 @@ from marquee.llm import (  # noqa: F401
     op9_decontaminate,
     op10_secret_scan,
     op11_byte_bpe,
+    op12_resampling,
 )
 from marquee.llm.plans import ORACLES, QUERIES  # noqa: F401
