@@ -13,5 +13,6 @@ from marquee.llm import (  # noqa: F401
     op10_secret_scan,
     op11_byte_bpe,
     op12_resampling,
+    op13_whitening,
 )
 from marquee.llm.plans import ORACLES, QUERIES  # noqa: F401
