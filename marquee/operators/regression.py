@@ -26,11 +26,12 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.operators import versions
 from marquee.operators.labels import apply_index, fit_index, load_index, save_index
 from marquee.operators.metrics import errors
 from marquee.operators.nulls import apply_fill, fill_values
 from marquee.operators.recommend import MODES
-from marquee.session import materialize, path_exists
+from marquee.session import materialize
 from marquee.sources.sinks import log_metrics
 
 TERM_BUCKETS = 500
@@ -199,40 +200,51 @@ def score(df: DataFrame, fitted: Fitted, settings: Settings = Settings()) -> Dat
     return fitted.model.transform(fitted.features.transform(prepared))
 
 
-def _paths(save_dir: str, name: str) -> dict[str, str]:
-    return {
-        "fill": f"{save_dir}/pipeline_dir/fill_values",
-        "categories": f"{save_dir}/pipeline_dir/categories",
-        "features": f"{save_dir}/pipeline_dir/pipeline_model",
-        "model": f"{save_dir}/model/{choose(name)[0]}",
-    }
+def _paths(folder: str) -> dict[str, str]:
+    return {part: f"{folder}/{part}" for part in ("fill", "categories", "features", "model")}
+
+
+def _model_dir(save_dir: str, name: str) -> str:
+    """Each kind of model has versions of its own."""
+    return f"{save_dir}/{choose(name)[0]}"
 
 
 def is_saved(spark: SparkSession, save_dir: str, name: str) -> bool:
-    return all(path_exists(spark, path) for path in _paths(save_dir, name).values())
+    return versions.current(spark, _model_dir(save_dir, name)) is not None
 
 
 def save(spark: SparkSession, fitted: Fitted, save_dir: str, name: str) -> None:
-    paths = _paths(save_dir, name)
+    """Fill values, categories, stages and model become current together."""
+    versions.publish(spark, _model_dir(save_dir, name), lambda path: _write(spark, fitted, path))
+
+
+def _write(spark: SparkSession, fitted: Fitted, folder: str) -> None:
+    paths = _paths(folder)
     rows = spark.createDataFrame(list(fitted.fill.items()), "column string, value double")
-    rows.write.mode("overwrite").parquet(paths["fill"])
+    rows.write.parquet(paths["fill"])
     names = spark.createDataFrame([(c,) for c in fitted.indexes], "column string")
-    names.write.mode("overwrite").parquet(f"{paths['categories']}/names")
+    names.write.parquet(f"{paths['categories']}/names")
     for column, index in fitted.indexes.items():
-        save_index(index, f"{paths['categories']}/{column}")
-    fitted.features.write().overwrite().save(paths["features"])
-    fitted.model.write().overwrite().save(paths["model"])
+        save_index(index, f"{paths['categories']}/column={column}")
+    fitted.features.write().save(paths["features"])
+    fitted.model.write().save(paths["model"])
 
 
 def load(spark: SparkSession, save_dir: str, name: str) -> Fitted:
-    paths = _paths(save_dir, name)
+    folder = versions.current(spark, _model_dir(save_dir, name))
+    if folder is None:
+        raise FileNotFoundError(f"no trained {name} model below {save_dir}; train first")
+    paths = _paths(folder)
     fill = spark.read.schema("column string, value double").parquet(paths["fill"]).collect()
     names = spark.read.schema("column string").parquet(f"{paths['categories']}/names").collect()
     return Fitted(
         {row["column"]: row["value"] for row in fill},
         PipelineModel.load(paths["features"]),
         choose(name)[2].load(paths["model"]),
-        {r["column"]: load_index(spark, f"{paths['categories']}/{r['column']}") for r in names},
+        {
+            r["column"]: load_index(spark, f"{paths['categories']}/column={r['column']}")
+            for r in names
+        },
     )
 
 
@@ -252,10 +264,7 @@ def train(
 def predict(
     df: DataFrame, save_dir: str, name: str = "lr", settings: Settings = Settings()
 ) -> DataFrame:
-    spark = df.sparkSession
-    if not is_saved(spark, save_dir, name):
-        raise FileNotFoundError(f"no trained {name} model below {save_dir}; train first")
-    return score(df, load(spark, save_dir, name), settings)
+    return score(df, load(df.sparkSession, save_dir, name), settings)
 
 
 def evaluate(

@@ -60,7 +60,7 @@ def drop_scratch(spark: SparkSession) -> None:
     """Delete what this process has written to scratch paths. Frames that were derived from it
     can no longer be computed, so results come first."""
     while _scratch_paths:
-        files, target = _hadoop_path(spark, _scratch_paths.pop())
+        files, target = hadoop_path(spark, _scratch_paths.pop())
         files.delete(target, True)
 
 
@@ -78,10 +78,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` exists in the file system its own URI scheme names."""
-    files, target = _hadoop_path(spark, path)
+    files, target = hadoop_path(spark, path)
     return bool(files.exists(target))
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that the path's URI scheme names, and the path in it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
