@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators import columns, recommend, regression, splits
+from marquee.operators import columns, metrics, recommend, regression, splits
 from marquee.plans.cleaning import WORDS_SQL
 from marquee.plans.registry import query, table
 from marquee.plans.selection import ITEM_MEAN_ERRORS, item_mean_predictions
@@ -140,20 +141,7 @@ def als_ranks(spark, sf_dir):
     return top.withColumn("sound", sound).filter("sound").select("user_id", "rank")
 
 
-def _finite(column: str) -> Column:
-    return F.col(column).isNotNull() & ~F.isnan(column) & (F.abs(column) < float("inf"))
-
-
-_KNOWN_SQL = f"""
-  WITH r AS ({_SPLIT_SQL}), p AS (
-    SELECT user_id, item_id, avg(rating) AS rating FROM ({RATINGS_SQL}) GROUP BY user_id, item_id)
-  SELECT user_id, item_id, round(rating, 6) AS rating, true AS finite FROM r JOIN p USING (user_id, item_id)
-  WHERE NOT in_train AND user_id IN (SELECT user_id FROM r WHERE in_train)
-    AND item_id IN (SELECT item_id FROM r WHERE in_train)
-"""
-
-
-@query("als_predict", _KNOWN_SQL)
+@query("als_predict")
 def als_predict(spark, sf_dir):
     """The settings of the small recommender: weaker regularisation, factors of any sign. The model
     is saved by the first call and loaded by the second."""
@@ -163,44 +151,44 @@ def als_predict(spark, sf_dir):
     recommend.train(train, path, settings)
     recommend.train(train.limit(1), path, settings)
     predictions = recommend.predict(test, path, settings)
-    finite = _finite("rating_prediction").alias("finite")
-    return predictions.select("user_id", "item_id", F.round("rating", 6).alias("rating"), finite)
+    return predictions.select("user_id", "item_id", "rating", "rating_prediction")
 
 
-@query(
-    "als_topk",
-    f"""
-    SELECT DISTINCT user_id::VARCHAR AS user_id, rank, true AS known FROM ({_SPLIT_SQL}),
-      (SELECT unnest([1, 2, 3, 4, 5]) AS rank) WHERE in_train
-    """,
-)
+@query("als_topk")
 def als_topk(spark, sf_dir):
-    """Five items for each training user, all of them from the training rows."""
+    """Five items for each training user, with their predicted ratings."""
     train, _ = _split_ratings(spark, sf_dir)
     fitted = recommend.train(train, scratch_path(spark, "als"), RATED)
-    top = recommend.recommend_labels(fitted, RATED, 5)
-    items = train.select(F.col("item_id").cast("string").alias("label")).distinct()
-    known = top.join(items.withColumn("known", F.lit(True)), F.col("item_id") == F.col("label"), "left")
-    return known.select("user_id", "rank", F.coalesce("known", F.lit(False)).alias("known"))
-
+    return recommend.recommend_labels(fitted, RATED, 5)
 
-_SOUND = "SELECT '{model}' AS model, true AS squares, true AS means"
 
-
-def _sound(logged: DataFrame) -> DataFrame:
-    """Whether a row of the log can be the errors of one set of predictions."""
-    squares = F.abs(F.col("mse") - F.col("rmse") * F.col("rmse")) <= 1e-6 * F.col("mse")
-    means = (F.col("mae") > 0) & (F.col("mae") <= F.col("rmse"))
-    return logged.select("model", squares.alias("squares"), means.alias("means"))
-
-
-@query("als_metrics", _SOUND.format(model="ALS"))
+@query("als_metrics")
 def als_metrics(spark, sf_dir):
     """Train, predict, evaluate and log in one call."""
     train, test = _split_ratings(spark, sf_dir)
     log = scratch_path(spark, "metrics")
     recommend.run("full", train, test, scratch_path(spark, "als"), RATED, log)
-    return _sound(sinks.read_metrics(spark, log))
+    return sinks.read_metrics(spark, log).select("model", "rmse", "mae", "mse")
+
+
+@query(
+    "als_learns",
+    f"""
+    WITH p AS (
+      SELECT item_id, rating - avg(rating) OVER (PARTITION BY item_id) AS e FROM (
+        SELECT user_id, item_id, avg(rating) AS rating FROM ({RATINGS_SQL}) GROUP BY user_id, item_id)
+        JOIN ({_SPLIT_SQL}) USING (user_id, item_id) WHERE in_train)
+    SELECT count(*) AS n, round(avg(e * e), 6) AS item_mean_mse, true AS better FROM p
+    """,
+)
+def als_learns(spark, sf_dir):
+    """Over its training rows the factorisation errs less than the mean of each item."""
+    train, _ = _split_ratings(spark, sf_dir)
+    settings = dataclasses.replace(RATED, reg_param=0.01, nonnegative=False)
+    path = scratch_path(spark, "als")
+    recommend.train(train, path, settings)
+    told = materialize(recommend.predict(train, path, settings), "told")
+    return metrics.against_group_means(told, "item_id", "rating", "rating_prediction")
 
 
 def _products(spark, sf_dir) -> DataFrame:
@@ -228,46 +216,61 @@ def _regressed(spark, sf_dir, name: str, settings: regression.Settings) -> DataF
     return predicted.select("parent_asin", "name", "rating", "rating_prediction")
 
 
-_HELD_OUT_SQL = """
-  SELECT p_partkey::VARCHAR AS parent_asin, p_name AS name, round(p_size / 12.5 + 1, 6) AS rating,
-         true AS finite
-  FROM part WHERE ('0x' || substr(md5('42|' || p_partkey), 1, 8))::BIGINT % 100 >= 80
-"""
-
-
-def _held_out(predicted: DataFrame) -> DataFrame:
-    """The held-out rows; every one of them has a prediction."""
-    finite = _finite("rating_prediction").alias("finite")
-    return predicted.select("parent_asin", "name", F.round("rating", 6).alias("rating"), finite)
-
-
-@query("linear_predict", _HELD_OUT_SQL)
+@query("linear_predict")
 def linear_predict(spark, sf_dir):
-    return _held_out(_regressed(spark, sf_dir, "lr", regression.Settings()))
+    return _regressed(spark, sf_dir, "lr", regression.Settings())
 
 
-@query("forest_predict", _HELD_OUT_SQL)
+@query("forest_predict")
 def forest_predict(spark, sf_dir):
-    return _held_out(_regressed(spark, sf_dir, "random_forest", regression.Settings(fill="mean")))
+    return _regressed(spark, sf_dir, "random_forest", regression.Settings(fill="mean"))
 
 
-@query("boosted_predict", _HELD_OUT_SQL)
+@query("boosted_predict")
 def boosted_predict(spark, sf_dir):
-    return _held_out(_regressed(spark, sf_dir, "gbt", regression.Settings(fill="median")))
+    return _regressed(spark, sf_dir, "gbt", regression.Settings(fill="median"))
 
 
-@query("category_predict", _HELD_OUT_SQL)
+@query("category_predict")
 def category_predict(spark, sf_dir):
     settings = regression.Settings(category=("main_category", "store"))
-    return _held_out(_regressed(spark, sf_dir, "lr", settings))
+    return _regressed(spark, sf_dir, "lr", settings)
 
 
-@query("regression_run_metrics", _SOUND.format(model="lr"))
+@query("regression_run_metrics")
 def regression_run_metrics(spark, sf_dir):
     train, test = splits.hash_split(_products(spark, sf_dir), "parent_asin")
     log = scratch_path(spark, "metrics")
     regression.run("full", train, test, scratch_path(spark, "regression"), "lr", metrics_path=log)
-    return _sound(sinks.read_metrics(spark, log))
+    return sinks.read_metrics(spark, log).select("model", "rmse", "mae", "mse")
+
+
+_LEARNERS = {
+    "lr": ("lr", regression.Settings()),
+    "lr with categories": ("lr", regression.Settings(category=("main_category", "store"))),
+    "random forest": ("random_forest", regression.Settings(fill="mean")),
+    "gbt": ("gbt", regression.Settings(fill="median")),
+}
+
+
+@query(
+    "regression_learns",
+    """
+    WITH p AS (SELECT p_size / 12.5 + 1 AS rating FROM part
+      WHERE ('0x' || substr(md5('42|' || p_partkey), 1, 8))::BIGINT % 100 < 80)
+    SELECT model, count(*) AS n, round(var_pop(rating), 6) AS variance, true AS explains, true AS centred
+    FROM p, (SELECT unnest(['lr', 'lr with categories', 'random forest', 'gbt']) AS model) GROUP BY model
+    """,
+)
+def regression_learns(spark, sf_dir):
+    """Over its training rows each model errs less than their mean, and keeps their mean."""
+    train, _ = splits.hash_split(_products(spark, sf_dir), "parent_asin")
+    train = materialize(train, "train")
+    rows = []
+    for label, (name, settings) in _LEARNERS.items():
+        told = regression.score(train, regression.fit(train, name, settings), settings)
+        rows.append(metrics.against_mean(told, "rating", "rating_prediction").withColumn("model", F.lit(label)))
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(
@@ -338,19 +341,11 @@ def hashed_counts(spark, sf_dir):
     return hashed.select("doc_id", total.alias("words")).filter("words > 0")
 
 
-@query(
-    "hashed_tfidf",
-    "SELECT doc_id, true AS few, true AS positive FROM documents",
-)
+@query("hashed_tfidf")
 def hashed_tfidf(spark, sf_dir):
-    """Hashed term weights of every text: no more buckets than distinct words, none below zero."""
+    """Hashed term weights of every text: one row for each bucket with a weight."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     docs = docs.fillna("", subset=["text"])
     fitted = Pipeline(stages=regression.text_stages(["text"], "text_features")).fit(docs)
-    weights = vector_to_array("text_features")
-    used = F.size(F.filter(weights, lambda w: w != 0))
-    return fitted.transform(docs).select(
-        "doc_id",
-        (used <= F.least(F.lit(regression.TERM_BUCKETS), F.size(F.array_distinct("text_words")))).alias("few"),
-        F.forall(weights, lambda w: w >= 0).alias("positive"),
-    )
+    each = F.posexplode(vector_to_array("text_features")).alias("bucket", "weight")
+    return fitted.transform(docs).select("doc_id", each).filter("weight <> 0")

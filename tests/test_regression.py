@@ -1,4 +1,6 @@
 import dataclasses
+import math
+from collections import Counter
 
 import pytest
 from pyspark.ml import Pipeline
@@ -6,7 +8,7 @@ from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler, Tokenizer, VectorAs
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from marquee.operators import regression
+from marquee.operators import metrics, regression
 from marquee.schemas import PRODUCT, PRODUCT_EXCLUDED
 from marquee.sources import sinks
 
@@ -114,3 +116,55 @@ def test_categories(spark, products, tmp_path):
 
 def test_product_schema():
     assert not set(PRODUCT.fieldNames()) & set(PRODUCT_EXCLUDED)
+
+
+def murmur3(data: bytes, seed: int = 42) -> int:
+    """The hash of the term stage: 32-bit murmur3, signed."""
+    mask, h = 0xFFFFFFFF, seed
+
+    def scramble(k):
+        k = k * 0xCC9E2D51 & mask
+        return (k << 15 | k >> 17) * 0x1B873593 & mask
+
+    whole = len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h ^= scramble(int.from_bytes(data[i : i + 4], "little"))
+        h = ((h << 13 | h >> 19) & mask) * 5 + 0xE6546B64 & mask
+    if whole < len(data):
+        h ^= scramble(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_hashed_weights_by_a_twin(spark):
+    texts = ["red apple red", "green apple", "red pear tree house", "", "ünïcode apple words of many letters"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    fitted = Pipeline(stages=regression.text_stages(["text"], "out")).fit(docs)
+    got = {r.i: dict(enumerate(r.v)) for r in fitted.transform(docs).select("i", vector_to_array("out").alias("v")).collect()}
+    bags = []
+    for text in texts:
+        bag = Counter(murmur3(w.encode()) % regression.TERM_BUCKETS for w in text.lower().split(" "))
+        bags.append(bag)
+    df = Counter(b for bag in bags for b in bag)
+    for i, bag in enumerate(bags):
+        want = {b: n * math.log((len(texts) + 1) / (df[b] + 1)) for b, n in bag.items()}
+        assert {b: w for b, w in got[i].items() if w} == pytest.approx({b: w for b, w in want.items() if w})
+
+
+def test_a_constant_model_explains_nothing(spark):
+    rows = spark.range(50).select("id", (F.col("id") % 7).cast("double").alias("y"))
+    mean = rows.agg(F.mean("y")).first()[0]
+    constant = rows.withColumn("p", F.lit(mean))
+    assert metrics.against_mean(constant, "y", "p").first().asDict() == {
+        "n": 50, "variance": pytest.approx(3.92, abs=0.1), "explains": False, "centred": True,
+    }
+    assert not metrics.against_mean(rows.withColumn("p", F.lit(4.0)), "y", "p").first().centred
+    good = metrics.against_mean(rows.withColumn("p", F.col("y") + F.rand(1) / 100), "y", "p").first()
+    assert good.explains and good.centred
+    assert not metrics.against_group_means(constant, "id", "y", "p").first().better
+    grouped = constant.withColumn("g", F.col("id") % 2)
+    assert not metrics.against_group_means(grouped, "g", "y", "p").first().better
+    assert metrics.against_group_means(grouped.withColumn("p", F.col("y")), "g", "y", "p").first().better
