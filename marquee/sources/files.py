@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.functions import records
+from marquee.sources import ranges
 
 # Quotes are doubled inside quoted fields, as common CSV writers do; Spark's default escape is a
 # backslash, which misreads such titles.
@@ -29,12 +30,15 @@ def read_csv(
     job; `mode` may ask for something else.
 
     `columns` reaches the parser: fields that are not selected are not converted. With
-    `multi_line`, quoted fields may hold line ends, at the price of one task per file.
+    `multi_line`, quoted fields may hold line ends; large files are still read by many tasks, and
+    twice.
     """
+    if multi_line:
+        df = _csv_records(spark, path, schema, mode)
+        return df if columns is None else df.select(*columns)
     df = (
         spark.read.schema(schema)
         .options(**_CSV)
-        .option("multiLine", str(multi_line).lower())
         .option("mode", mode)
         # Compare header names with the schema instead of trusting positions.
         .option("enforceSchema", "false")
@@ -43,6 +47,47 @@ def read_csv(
     return df if columns is None else df.select(*columns)
 
 
+def _ddl(schema: T.StructType) -> str:
+    quoted = ("`" + f.name.replace("`", "``") + "` " + f.dataType.simpleString() for f in schema)
+    return ", ".join(quoted)
+
+
+def _parsed(records: DataFrame, parse, schema: T.StructType, mode: str) -> DataFrame:
+    """Texts of records (`value`) as rows of the schema. `parse` takes schema and options."""
+    if mode != "DROPMALFORMED":
+        return records.select(parse(schema, {"mode": mode}).alias("row")).select("row.*")
+    bad = "_malformed"
+    while bad in schema.fieldNames():
+        bad = f"_{bad}"
+    wider = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    rows = records.select(parse(wider, options).alias("row")).select("row.*")
+    return rows.where(F.col(f"`{bad}`").isNull()).drop(bad)
+
+
+def _csv_records(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, mode: str
+) -> DataFrame:
+    def parse(wanted: T.StructType, options: dict) -> Column:
+        return F.from_csv("value", _ddl(wanted), {**_CSV, "header": "false", "multiLine": "true", **options})
+
+    records = ranges.read_records(spark, path, ranges.Quoted())
+    line_end = F.regexp_replace("value", "\r?\n$", "")
+    records = records.withColumn("value", line_end)
+    # The first record of each file has the names. There is one for each file.
+    names = [f.name.lower() for f in schema]
+    numbers = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    heads = records.where("record = 0").select("value", parse(numbers, {"mode": "PERMISSIVE"}).alias("h"))
+    found = F.transform(F.array(*[F.col(f"h.c{i}") for i in range(len(names))]), F.lower)
+    commas = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), ","))
+    same = (found == F.array(*map(F.lit, names))) & (commas == len(names))
+    wrong = heads.where((F.trim("value") != "") & ~F.coalesce(same, F.lit(False))).limit(1).collect()
+    if wrong:
+        raise ValueError(f"a header does not have the columns of the schema: {wrong[0].value!r}")
+    rows = records.where(F.coalesce("record", F.lit(-1)) != 0).where(F.trim("value") != "")
+    return _parsed(rows, parse, schema, mode)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.options(**_CSV_WRITE).mode(mode).csv(path)
 
@@ -61,13 +106,22 @@ def read_json_documents(
     partitions: int | None = None,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Files that hold one JSON array, or one object, over many lines. A file that is broken
-    anywhere fails the job unless `mode` says otherwise.
+    """Files that hold one JSON array of objects, or one object, on any number of lines. A file that
+    is broken anywhere fails the job unless `mode` says otherwise.
 
-    Such a file cannot be split, so each is parsed by one task; `partitions` spreads the rows for
-    what follows.
+    A large file is read by many tasks, and twice: elements are cut where they end, whether or not
+    a line ends there. `partitions` spreads the rows for what follows.
     """
-    df = spark.read.schema(schema).option("multiLine", "true").option("mode", mode).json(path)
+    records = ranges.read_records(spark, path, ranges.Nested())
+    # Before an object stands the array's begin or a comma; behind the last one the array's end.
+    text = F.regexp_replace("value", r"^\s*[\[,]?\s*(?=\{)", "")
+    rows = records.where(~F.col("value").rlike(r"^[\s\]]*$")).select(text.alias("value"))
+    rows = rows.where(~F.col("value").rlike(r"^\s*\[\s*\]\s*$"))  # an array without elements
+
+    def parse(wanted: T.StructType, options: dict) -> Column:
+        return F.from_json("value", wanted, options)
+
+    df = _parsed(rows, parse, schema, mode)
     return df.repartition(partitions) if partitions else df
 
 

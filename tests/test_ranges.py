@@ -1,0 +1,109 @@
+import csv
+import io
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marquee.sources import files, ranges
+
+CSV_SCHEMA = T.StructType().add("n", "integer").add("text", "string").add("tail", "string")
+INNER = T.StructType().add("a", T.ArrayType(T.IntegerType())).add("b", "string")
+JSON_SCHEMA = T.StructType().add("n", "integer").add("text", "string").add("inner", INNER)
+
+
+@pytest.fixture(params=[None, 64, 1000])
+def small_splits(spark, request):
+    """Files in one split, or in splits of so many bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    if request.param:
+        for name in names:
+            spark.conf.set(name, str(request.param))
+    yield request.param
+    for name in names:
+        spark.conf.unset(name)
+
+
+def awkward(r, n):
+    signs = ['"', ",", "\n", "\r\n", "ü", "漢", "x", " ", "{", "}", "[", "]", "\\", "word"]
+    return [(i, "".join(r.choice(signs) for _ in range(r.randrange(12))) + "z", r.choice(["t", 'q"q'])) for i in range(n)]
+
+
+def test_csv_with_line_ends(spark, tmp_path, small_splits):
+    r = random.Random(1)
+    rows = awkward(r, 60)
+    for name, end, part in (("a.csv", "\n", rows[:40]), ("b.csv", "\r\n", rows[40:])):
+        text = io.StringIO()
+        writer = csv.writer(text, lineterminator=end)
+        writer.writerow(CSV_SCHEMA.fieldNames())
+        writer.writerows(part)
+        body = text.getvalue()
+        (tmp_path / name).write_text(body if name == "b.csv" else body[: -len(end)], newline="")
+    got = files.read_csv(spark, str(tmp_path / "*.csv"), CSV_SCHEMA, multi_line=True)
+    assert sorted(map(tuple, got.collect())) == rows
+    assert files.read_csv(spark, str(tmp_path / "a.csv"), CSV_SCHEMA, ["n"], multi_line=True).columns == ["n"]
+
+
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    lines = "".join(f'{i},"line\nof {i}",z\n' for i in range(300))
+    (tmp_path / "one.csv").write_text("n,text,tail\n" + lines)
+    pieces = ranges.read_pieces(spark, str(tmp_path / "one.csv"), "\n")
+    tasks = pieces.select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1 if small_splits else tasks >= 1
+    got = files.read_csv(spark, str(tmp_path / "one.csv"), CSV_SCHEMA, multi_line=True)
+    assert sorted(map(tuple, got.collect())) == [(i, f"line\nof {i}", "z") for i in range(300)]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_json_arrays(spark, tmp_path, small_splits, indent):
+    r = random.Random(2)
+    objects = [
+        {"n": i, "text": text, "inner": {"a": [i, 2], "b": tail + "}"}} for i, text, tail in awkward(r, 50)
+    ]
+    (tmp_path / "array.json").write_text(json.dumps(objects[:40], indent=indent, ensure_ascii=False))
+    (tmp_path / "escaped.json").write_text(json.dumps(objects[40:49], indent=indent))
+    (tmp_path / "object.json").write_text(json.dumps(objects[49], indent=indent) + "\n")
+    (tmp_path / "none.json").write_text("[ ]")
+    got = files.read_json_documents(spark, str(tmp_path / "*.json"), JSON_SCHEMA).collect()
+    assert sorted((row.asDict(recursive=True) for row in got), key=lambda x: x["n"]) == objects
+    if small_splits == 64:
+        pieces = ranges.read_pieces(spark, str(tmp_path / "array.json"), "}")
+        assert pieces.select(F.spark_partition_id()).distinct().count() > 10
+
+
+@pytest.mark.parametrize("text", ['[{"n": 1}, {"n": 2', '[{"n": 1}, 5, {"n": 2}]', '[{"n": 1}, {"n": }]', '[{"n": 1}, x]', '{"n": 1'])
+def test_broken_json_fails(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(Exception):  # noqa: B017
+        files.read_json_documents(spark, str(tmp_path / "x.json"), JSON_SCHEMA).collect()
+
+
+def test_csv_edges(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("n,other,tail\n1,a,b\n")
+    with pytest.raises(ValueError, match="header"):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), CSV_SCHEMA, multi_line=True)
+    (tmp_path / "short.csv").write_text("n,text,tail\n1,a,b\n2,c\n\n3,,\n")
+    path = str(tmp_path / "short.csv")
+    with pytest.raises(Exception):  # noqa: B017
+        files.read_csv(spark, path, CSV_SCHEMA, multi_line=True).collect()
+    dropped = files.read_csv(spark, path, CSV_SCHEMA, multi_line=True, mode="DROPMALFORMED")
+    assert sorted(map(tuple, dropped.collect())) == [(1, "a", "b"), (3, None, None)]
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "head.csv").write_text("n,text,tail")
+    for name in ("empty.csv", "head.csv"):
+        assert files.read_csv(spark, str(tmp_path / name), CSV_SCHEMA, multi_line=True).collect() == []
+
+
+def test_many_splits_without_broadcast(spark, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    spark.conf.set("spark.sql.files.openCostInBytes", "50")
+    monkeypatch.setattr(ranges, "BROADCAST_BYTES", -1)
+    try:
+        (tmp_path / "one.csv").write_text("n,text,tail\n" + "".join(f'{i},"a\n{i}",z\n' for i in range(100)))
+        got = files.read_csv(spark, str(tmp_path / "one.csv"), CSV_SCHEMA, multi_line=True)
+        assert sorted(map(tuple, got.collect())) == [(i, f"a\n{i}", "z") for i in range(100)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
