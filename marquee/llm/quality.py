@@ -10,8 +10,8 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +19,14 @@ from pyspark.sql import types as T
 from marquee.llm.columns import without
 from marquee.llm.store import Store
 from marquee.llm.words import Words, words_of
+from marquee.operators.ordering import value_at_rank
+from marquee.sources.tables import spread
 
-#: Documents that the views are fitted on, at most: with a label, and without one. Those with the
-#: smallest hash of their id are taken.
+#: Documents with a label that the views are fitted on, at most: those with the smallest hash of
+#: their id.
 LABELLED = 16384
-UNLABELLED = 8192
-#: Rounds of exchange; pseudo-labels of each class that a view gives the other in one of them, at
-#: most, and how sure it must be.
+#: Rounds of exchange; pseudo-labels of each class that a view gives the other in one of them, the
+#: ones it is surest of among all documents without a label, and how sure it must be.
 ROUNDS = 3
 GIVEN = 1024
 SURE = 0.95
@@ -105,32 +106,65 @@ def _chunks(batch: pa.RecordBatch, text_column: str) -> Iterator[Words]:
     yield from words_of(batch.column(batch.schema.names.index(text_column)))
 
 
-def _featured(batches, text_column: str, columns: Sequence[str]):
-    names = ["doc_id", "bad", "words", "content", "pages", "layout"]
+FEATURES = "doc_id long, words array<int>, content array<double>, pages array<int>, layout array<double>"
+
+
+def _featured(batches, columns: Sequence[str]):
+    """Features of every document, in lists, for fitting and for the rounds of exchange."""
+    names = ["doc_id", "words", "content", "pages", "layout"]
     for batch in batches:
-        for words in _chunks(batch, text_column):
+        for words in _chunks(batch, "text"):
             rows = batch.slice(words.first, len(words))
             buckets, stats = content_features(words)
             pages, layout = page_features(words, batch, columns)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column(rows.schema.names.index("doc_id")),
-                    rows.column(rows.schema.names.index("bad")),
-                    pa.array([b.tolist() for b in buckets], pa.list_(pa.int32())),
-                    pa.array(stats.tolist(), pa.list_(pa.float64())),
-                    pa.array([sorted(set(b)) for b in pages.tolist()], pa.list_(pa.int32())),
-                    pa.array(layout.tolist(), pa.list_(pa.float64())),
-                ],
-                names,
-            )
+            pages = [np.unique(own) for own in pages]
+            lists = [_lists(buckets), _matrix(stats), _lists(pages), _matrix(layout)]
+            yield pa.RecordBatch.from_arrays([rows.column(rows.schema.names.index("doc_id")), *lists], names)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.concatenate(rows) if rows else np.zeros(0)
+    return pa.ListArray.from_arrays(ends, pa.array(flat.astype(np.int32), pa.int32()))
+
+
+def _matrix(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.ravel(rows), pa.float64()))
+
+
+def _sums(lists: pa.Array, weights: np.ndarray) -> np.ndarray:
+    """The weights of each row's buckets, added up."""
+    ends = np.asarray(lists.offsets)
+    upto = np.concatenate(([0.0], np.cumsum(weights[np.asarray(lists.values)])))
+    return upto[ends[1:]] - upto[ends[:-1]]
+
+
+def _raw(view: View, lists: pa.Array, stats: pa.Array, width: int) -> np.ndarray:
+    flat = np.asarray(stats.values)[stats.offsets[0].as_py() :].reshape(len(stats), -1)
+    return _sums(lists, view.weights[:width]) + flat @ view.weights[width:] + view.intercept
 
 
-@F.udf(VectorUDT())
-def _vector(buckets, stats, width):
-    """Only for the bounded choice that the views are fitted on."""
-    return Vectors.sparse(
-        width + len(stats), list(buckets) + list(range(width, width + len(stats))), [1.0] * len(buckets) + list(stats)
+def _told(batches, content: View, pages: View):
+    """(doc_id, a, b): the probability of each view, before calibration."""
+    for batch in batches:
+        column = dict(zip(batch.schema.names, batch.columns, strict=True))
+        a = _raw(content, column["words"], column["content"], WORD_BUCKETS)
+        b = _raw(pages, column["pages"], column["layout"], META_BUCKETS)
+        yield pa.RecordBatch.from_pydict({"doc_id": column["doc_id"], "a": _sigmoid(a), "b": _sigmoid(b)})
+
+
+def _vectors(rows: DataFrame, buckets: str, stats: str, width: int, output: str) -> DataFrame:
+    """A sparse vector from buckets and numbers, put together by the ML library's own stages."""
+    counted, dense = f"{output}_buckets", f"{output}_stats"
+    model = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(width)], inputCol="_text", outputCol=counted, binary=True
     )
+    rows = model.transform(rows.withColumn("_text", F.col(buckets).cast("array<string>"))).drop("_text")
+    rows = rows.withColumn(dense, array_to_vector(stats))
+    rows = VectorAssembler(inputCols=[counted, dense], outputCol=output).transform(rows)
+    # without a description of each of the many dimensions, which every plan would carry along
+    return rows.withColumn(output, F.col(output).alias(output, metadata={})).drop(counted, dense)
 
 
 @dataclass
@@ -204,8 +238,20 @@ def known_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def _first(ids: DataFrame, count: int) -> DataFrame:
-    return ids.orderBy(F.xxhash64("doc_id", F.lit("chosen")), "doc_id").limit(count)
+def _chosen(taught: DataFrame, count: int) -> DataFrame:
+    """At most `count` rows of distinct ids, those with the smallest hash."""
+    if taught.count() <= count:
+        return taught
+    hashed = taught.withColumn("h", F.xxhash64("doc_id", F.lit("chosen")))
+    return hashed.where(F.col("h") <= value_at_rank(hashed, "h", count)).drop("h")
+
+
+def _once(features: DataFrame, ids: DataFrame) -> DataFrame:
+    """The features of some documents, few enough to be sent about; of a repeated id one row's."""
+    rows = features.join(F.broadcast(ids), "doc_id")
+    lists = F.struct("words", "content", "pages", "layout")
+    once = rows.groupBy("doc_id", "bad").agg(F.min(lists).alias("f"))
+    return once.select("doc_id", "bad", "f.*")
 
 
 def train(
@@ -216,43 +262,34 @@ def train(
     text_column: str = "text",
     metadata: Sequence[str] = ("source", "lang"),
     labelled: int = LABELLED,
-    unlabelled: int = UNLABELLED,
 ) -> Model | None:
     """Fit both views by co-training; None if no document has a label.
 
     The content view sees words, repetition and signs; the page view sees metadata and layout. In
-    each round a view labels the unlabelled documents that it is surest of for the other one. Both
-    are then calibrated, and their logits weighted, on the labelled documents that were held out.
+    each round a view labels the documents that it is surest of, among all without a label, for the
+    other one. Both are then calibrated, and their logits weighted, on the labelled documents that
+    were held out.
+
+    The features of all documents are written once, in about a quarter of the texts' bytes; the
+    rounds read those. Of a round only ids and probabilities of which a view is sure are shuffled.
     """
-    known = known_labels(labels)
-    ids = documents.select(F.col(f"`{id_column}`").cast("long").alias("doc_id")).where("doc_id is not null")
-    taught = _first(ids.join(known, "doc_id", "left_semi").distinct(), labelled)
-    open_ids = _first(ids.join(known, "doc_id", "left_anti").distinct(), unlabelled)
-    chosen = taught.join(known, "doc_id").unionByName(open_ids.withColumn("bad", F.lit(None).cast("double")))
-    # at most labelled + unlabelled rows of 16 bytes
+    known = store.keep(known_labels(labels), "known")
+    names = tuple(f"meta{i}" for i in range(len(metadata)))
     texts = documents.select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.col(f"`{text_column}`").alias("text"),
-        *[F.col(f"`{c}`").cast("string").alias(f"meta{i}") for i, c in enumerate(metadata)],
-    ).join(F.broadcast(store.keep(chosen, "chosen")), "doc_id")
-    texts = texts.groupBy("doc_id").agg(*[F.min(c).alias(c) for c in texts.columns if c != "doc_id"])
-    names = tuple(f"meta{i}" for i in range(len(metadata)))
-    rows = texts.mapInArrow(
-        partial(_featured, text_column="text", columns=names),
-        "doc_id long, bad double, words array<int>, content array<double>, pages array<int>, layout array<double>",
-    ).select(
-        "doc_id", "bad",
-        _vector("words", "content", F.lit(WORD_BUCKETS)).alias("a"),
-        _vector("pages", "layout", F.lit(META_BUCKETS)).alias("b"),
-        (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0).alias("held"),
-    )
-    rows = store.keep(rows, "features").coalesce(8)
+        *[F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(metadata, names, strict=True)],
+    ).where("doc_id is not null")
+    features = store.keep(spread(texts).mapInArrow(partial(_featured, columns=names), FEATURES), "features")
+    taught = _chosen(known.join(features.select("doc_id").distinct(), "doc_id", "left_semi"), labelled)
+    # at most `labelled` rows of 16 bytes
+    rows = _fold(_once(features, store.keep(taught, "chosen")))
+    rows = store.keep(rows, "rows").coalesce(8)
     train_rows = rows.where("bad is not null and not held")
     if train_rows.isEmpty():
         train_rows = rows.where("bad is not null")
     if train_rows.isEmpty():
         return None
-    pool = rows.where("bad is null")
     learn_a = train_rows.select("a", "bad")
     learn_b = train_rows.select("b", "bad")
     for turn in range(ROUNDS + 1):
@@ -260,19 +297,21 @@ def train(
         view_b = _fit(learn_b, "b", 0.0, 0.01)
         if turn == ROUNDS:
             break
-        given_b = store.keep(_sure(view_a, pool, "b"), "given")
-        given_a = store.keep(_sure(view_b, pool, "a"), "given")
-        learn_a = train_rows.select("a", "bad").unionByName(given_a)
-        learn_b = train_rows.select("b", "bad").unionByName(given_b)
+        told = features.mapInArrow(partial(_told, content=_view(view_a), pages=_view(view_b)), "doc_id long, a double, b double")
+        sure = [(F.col(c) >= SURE) | (F.col(c) <= 1 - SURE) for c in "ab"]
+        told = told.where(sure[0] | sure[1]).join(known, "doc_id", "left_anti")
+        told = store.keep(told.groupBy("doc_id").agg(F.max("a").alias("a"), F.max("b").alias("b")), "told")
+        given_b = store.keep(_fold(_once(features, _sure(told, "a"))), "given").coalesce(8)
+        given_a = store.keep(_fold(_once(features, _sure(told, "b"))), "given").coalesce(8)
+        learn_a = train_rows.select("a", "bad").unionByName(given_a.select("a", "bad"))
+        learn_b = train_rows.select("b", "bad").unionByName(given_b.select("b", "bad"))
     held = rows.where("bad is not null and held").select("a", "b", "bad")
     for view in (view_a, view_b):
         column = view.getFeaturesCol()
         held = view.setPredictionCol("").setProbabilityCol("").setRawPredictionCol(f"raw_{column}").transform(held)
     found = held.select("bad", *[vector_to_array(f"raw_{c}")[1].alias(c) for c in "ab"]).toPandas()
     found = found.replace([np.inf, -np.inf], np.nan).dropna()
-    views = [
-        View(np.asarray(v.coefficients.toArray()), float(np.clip(v.intercept, -20, 20))) for v in (view_a, view_b)
-    ]
+    views = [_view(v) for v in (view_a, view_b)]
     y = found["bad"].to_numpy()
     joint = np.array([0.0, 0.5, 0.5])
     if len(set(y)) > 1:
@@ -289,12 +328,25 @@ def _fit(rows: DataFrame, column: str, lasso: float, penalty: float):
     ).fit(rows)
 
 
-def _sure(view, pool: DataFrame, other: str) -> DataFrame:
-    """What a view is surest of in the pool, at most GIVEN of each class, as (other, bad)."""
-    told = view.transform(pool).withColumn("p", vector_to_array("probability")[1])
-    bad = told.where(F.col("p") >= SURE).orderBy(F.desc("p"), "doc_id").limit(GIVEN)
-    good = told.where(F.col("p") <= 1 - SURE).orderBy("p", "doc_id").limit(GIVEN)
-    return bad.select(other, F.lit(1.0).alias("bad")).unionByName(good.select(other, F.lit(0.0).alias("bad")))
+def _view(fitted) -> View:
+    return View(np.asarray(fitted.coefficients.toArray()), float(np.clip(fitted.intercept, -20, 20)))
+
+
+def _fold(rows: DataFrame) -> DataFrame:
+    """(doc_id, bad, a, b, held): the vectors of both views, and whether a row is held out."""
+    rows = _vectors(rows, "words", "content", WORD_BUCKETS, "a")
+    rows = _vectors(rows, "pages", "layout", META_BUCKETS, "b")
+    held = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0
+    return rows.select("doc_id", "bad", "a", "b", held.alias("held"))
+
+
+def _sure(told: DataFrame, view: str) -> DataFrame:
+    """(doc_id, bad): what a view is surest of, at most GIVEN of each class."""
+    p = F.col(view)
+    bad = told.where(p >= SURE).orderBy(p.desc(), "doc_id").limit(GIVEN)
+    good = told.where(p <= 1 - SURE).orderBy(p, "doc_id").limit(GIVEN)
+    bad, good = (rows.select("doc_id", F.lit(y).alias("bad")) for rows, y in ((bad, 1.0), (good, 0.0)))
+    return bad.unionByName(good)
 
 
 SCORES = ("p_content", "p_pages", "p_bad")
@@ -323,8 +375,8 @@ def score_documents(
     """All rows with p_content, p_pages and p_bad, the probabilities that a document is poor or
     toxic by its content, by its page, and by both.
 
-    The views are fitted on a bounded choice of labelled documents (LABELLED) and documents without
-    a label (UNLABELLED); every document is scored on its whole text. Null and empty texts are
+    The views are fitted on a bounded choice of labelled documents (LABELLED) and on those that they
+    label for each other, chosen from all documents; every document is scored on its whole text. Null and empty texts are
     scored by the intercepts and their metadata; a null metadata value is a value like others. Rows
     without an id are scored but not learnt from, a repeated id is learnt from once. Without any
     label all probabilities are 0. Columns named like the three scores are replaced, others are
