@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -25,6 +26,11 @@ LIMIT = 0.5
 SHORT = 8
 #: Bytes of benchmark text that are searched for at a time; more are taken in several blocks.
 BLOCK_BYTES = 16 << 20
+#: An n-gram that more items than these have is a phrase of its kind, and seeds none of them.
+SHARED = 32
+#: Of the n-grams of an item that occur in the documents so many seed it at least, the rarest first,
+#: and so large a part of them.
+SEEDS, PART = 12, 7 / 8
 #: Hits of seeds that are sorted at a time; a row with more is taken by itself.
 HITS = 1 << 21
 
@@ -72,9 +78,10 @@ class Grams:
 
 @dataclass
 class Items:
-    """The items of a block: their words, and the seeds with the items that have them."""
+    """The items of a block, equal ones as one: their ids and words, and the seeds with the items
+    that have them."""
 
-    ids: list[int]
+    ids: list[list[int]]
     words: list[np.ndarray]
     widths: list[int]
     seeds: Grams
@@ -83,12 +90,44 @@ class Items:
 
     @classmethod
     def of(cls, ids: list[int], words: list[np.ndarray]) -> Items:
-        ordered = sorted({(int(g), i) for i, own in enumerate(words) for g in shingles(own, WIDTH)})
-        seeds = Grams.of(np.array([g for g, _ in ordered], np.uint64))
+        """Every n-gram of an item is a seed; `rare` leaves the rare ones."""
+        same: dict[bytes, list[int]] = {}
+        for i, own in enumerate(words):
+            same.setdefault(own.tobytes(), []).append(i)
+        groups = list(same.values())
+        own_words = [words[group[0]] for group in groups]
+        pairs = {(int(g), i) for i, own in enumerate(own_words) for g in shingles(own, WIDTH)}
+        return cls._of([[ids[i] for i in group] for group in groups], own_words, pairs)
+
+    @classmethod
+    def _of(cls, ids: list[list[int]], words: list[np.ndarray], pairs: set[tuple[int, int]]) -> Items:
+        ordered = sorted(pairs)
         grams = np.array([g for g, _ in ordered], np.uint64)
-        first = np.searchsorted(grams, seeds.values)
+        seeds = Grams.of(grams)
+        first = np.append(np.searchsorted(grams, seeds.values), len(ordered))
         widths = sorted({min(WIDTH, len(own)) for own in words})
-        return cls(ids, words, widths, seeds, np.append(first, len(ordered)), np.array([i for _, i in ordered], np.int64))
+        return cls(ids, words, widths, seeds, first, np.array([i for _, i in ordered], np.int64))
+
+    def rare(self, counts: np.ndarray) -> Items:
+        """The same items with fewer seeds; `counts` says how often each seed occurs in the documents.
+
+        An n-gram that does not occur can find nothing. One that over SHARED items have would bring
+        each document with the phrase together with all of them; only an item that has no other
+        n-gram is looked for by those. Of what is left the rarest are taken.
+        """
+        owners = np.diff(self.first)
+        mine: dict[int, list[tuple[bool, int, int]]] = {}
+        for place, gram in enumerate(self.seeds.values):
+            for i in self.owner[self.first[place] : self.first[place + 1]]:
+                mine.setdefault(int(i), []).append((bool(owners[place] > SHARED), int(counts[place]), int(gram)))
+        pairs = set()
+        for i, own in mine.items():
+            if not all(shared for shared, _, _ in own):
+                own = [seed for seed in own if not seed[0]]
+            live = sorted(seed[1:] for seed in own if seed[1])
+            take = max(SEEDS, math.ceil(PART * len(live)))
+            pairs |= {(gram, i) for _, gram in live[:take]}
+        return self._of(self.ids, self.words, pairs)
 
 
 def _grams(words: Words, width: int) -> np.ndarray:
@@ -113,6 +152,27 @@ def _hits(words: Words, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return at[order], place[order], row[order]
 
 
+def _counted(batches, items: Items) -> Iterator[pa.RecordBatch]:
+    """(place, n): how often a task's documents have each seed."""
+    counts = np.zeros(len(items.seeds.values), np.int64)
+    for batch in batches:
+        for words in words_of(batch.column(0)):
+            counts += np.bincount(_hits(words, items)[1], minlength=len(counts))
+    place = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict({"place": pa.array(place, pa.int64()), "n": pa.array(counts[place])})
+
+
+def _rare(documents: DataFrame, items: Items, text_column: str) -> Items:
+    """Items with seeds that are rare in all documents. The counts that come here are those of the
+    block's own n-grams."""
+    texts = documents.select(F.col(f"`{text_column}`").alias("text"))
+    counted = texts.mapInArrow(partial(_counted, items=items), "place long, n long")
+    counts = np.zeros(len(items.seeds.values), np.int64)
+    for row in counted.groupBy("place").agg(F.sum("n").alias("n")).collect():
+        counts[row.place] = row.n
+    return items.rare(counts)
+
+
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment (Smith-Waterman): its points, and the first and last word of `text`."""
     score, last = _best_end(item, text)
@@ -181,7 +241,7 @@ def _add_matches(
     for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
         r, i = int(row[begin]), int(owner[begin])
         if best := _best_copy(words, r, items, i, at[begin:end]):
-            out.setdefault(r, []).append(best)
+            out.setdefault(r, []).extend({"item_id": item_id, **best} for item_id in items.ids[i])
 
 
 def _best_copy(words: Words, row: int, items: Items, i: int, at: np.ndarray) -> dict | None:
@@ -200,7 +260,7 @@ def _best_copy(words: Words, row: int, items: Items, i: int, at: np.ndarray) ->
         score, start, stop = align(item, text)
         if score >= limit * whole and (best is None or score > best["score"]):
             best = {
-                "item_id": items.ids[i], "score": score, "ratio": score / whole,
+                "score": score, "ratio": score / whole,
                 "first_word": begin - low + start, "last_word": begin - low + stop,
             }
             if score == whole:
@@ -258,14 +318,16 @@ def find_leaks(
     Repeated rows are marked alike. A column named like `leaks` is replaced, others are kept. Empty
     tables give no rows, or empty lists.
 
-    Each n-gram of an item is a seed. A passage around one is aligned with the item if it has words
-    enough in common to reach the limit at all, so no copy is lost that keeps WIDTH words in a row.
-    Items of fewer words are looked for by seeds of their own width.
+    The n-grams of the items are counted in the documents first. Seeds of an item are the rare ones
+    that occur: all but the most frequent eighth, and all but those that more than SHARED items
+    have. A passage around a seed is aligned with the item if it has words enough in common to reach
+    the limit at all. Of equally good passages of an item the first is given. Items of fewer words
+    are looked for by seeds of their own width.
     The benchmark travels to the tasks in blocks of bounded size, the documents are not shuffled.
     """
     (kept,) = [without(documents, [leaks])]
     rows = kept.withColumn(leaks, F.array().cast(FOUND))
     for ids, words in _blocks(benchmark, item_column, item_text):
-        items = Items.of(ids, words)
+        items = _rare(kept, Items.of(ids, words), text_column)
         rows = rows.mapInArrow(partial(_marked, blocks=items, text_column=text_column, leaks=leaks), rows.schema)
     return rows

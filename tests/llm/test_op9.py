@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from marquee.llm import decontaminate
-from marquee.llm.decontaminate import GAP, LIMIT, MATCH, MISMATCH, align, find_leaks
+from marquee.llm.decontaminate import GAP, LIMIT, MATCH, MISMATCH, Items, align, find_leaks
 from marquee.llm.words import words_of
 
 SCHEMA = "doc_id long, text string, leaks string, item_id int, gram string"
@@ -121,3 +121,56 @@ def test_empty_tables(spark):
     assert find_leaks(df, items).collect() == []
     one = spark.createDataFrame([(1, "a b c", "x", 1, "g")], SCHEMA)
     assert [g.leaks for g in find_leaks(one, items).collect()] == [[]]
+
+
+def substituted(r, text, share):
+    return " ".join(f"s{r.randrange(10**6)}" if r.random() < share else w for w in text.split())
+
+
+def test_recall_of_rare_seeds():
+    """Of single copies with edits that still reach the limit, rare seeds lose under one in a hundred."""
+    r = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(300)]
+    items = [" ".join(r.choice(vocabulary) for _ in range(r.randint(15, 59))) for _ in range(150)]
+    prose = [" ".join(r.choice(vocabulary) for _ in range(400)) for _ in range(200)]
+    grams = Items.of(list(range(len(items))), [words(t) for t in items])
+    for share in (0.2, 0.25, 0.3):
+        copies = [substituted(r, t, share) for t in items]
+        texts = [f"{prose[i % 200]} {c} {prose[(i + 1) % 200]}" for i, c in enumerate(copies)]
+        counts = np.zeros(len(grams.seeds.values), np.int64)
+        for w in words_of(pa.array(texts + prose)):
+            counts += np.bincount(decontaminate._hits(w, grams)[1], minlength=len(counts))
+        rare = grams.rare(counts)
+        assert len(rare.owner) < 0.7 * len(grams.owner)
+        due = lost = 0
+        for i, text in enumerate(texts):
+            if smith_waterman(words(items[i]), words(copies[i])) >= LIMIT * MATCH * len(items[i].split()):
+                due += 1
+                found = decontaminate._matches(next(iter(words_of(pa.array([text])))), rare)
+                lost += i not in {x["item_id"] for x in found.get(0, [])}
+        assert due > 50 and lost <= 0.01 * due
+
+
+def test_a_shared_phrase_costs_nothing():
+    """Documents that say what many items begin with are not brought together with all of them."""
+    phrase = "which of the following is"
+    docs = [f"a{i} b{i} {phrase} c{i} d{i}" for i in range(20)]
+    pairs = {}
+    for n in (100, 2000):
+        ids, texts = list(range(n)), [f"{phrase} " + " ".join(f"q{i}w{j}" for j in range(15)) for i in range(n)]
+        items = Items.of(ids, [words(t) for t in texts])
+        chunk = next(iter(words_of(pa.array([*docs, texts[7]]))))
+        counts = np.bincount(decontaminate._hits(chunk, items)[1], minlength=len(items.seeds.values))
+        rare = items.rare(counts)
+        at, place, _ = decontaminate._hits(chunk, rare)
+        pairs[n] = int((rare.first[place + 1] - rare.first[place]).sum())
+        assert {r: [x["item_id"] for x in m] for r, m in decontaminate._matches(chunk, rare).items()} == {20: [7]}
+    assert pairs[100] == pairs[2000]
+
+
+def test_equal_items_are_found_under_each_id(spark):
+    text = " ".join(f"w{j}" for j in range(12))
+    items = spark.createDataFrame([(i, text) for i in range(50)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {text} y", "", 0, ""), (2, "nothing", "", 0, "")], SCHEMA)
+    got = {g.doc_id: sorted(x.item_id for x in g.leaks) for g in find_leaks(docs, items).collect()}
+    assert got == {1: list(range(50)), 2: []}
