@@ -27,7 +27,7 @@ FROM m GROUP BY doc_id
 
 @query("op4_line_spread", SQL)
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without the lines that half of the sources share."""
+    """Documents without the lines that stand on several sources."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     cleaned = remove_spread_lines(docs)
     return cleaned.select(

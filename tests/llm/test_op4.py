@@ -49,3 +49,15 @@ def test_no_python_in_the_plan(spark, sf_dir):
     plan = remove_spread_lines(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert docs.select(F.col("text")).count() > 0
+
+
+def test_twenty_copies_where_one_source_holds_a_third(spark):
+    r = random.Random(8)
+    rows = []
+    for k in range(40):
+        for i in range(20):
+            site = "hot" if r.random() < 1 / 3 else f"s{r.randrange(19)}"
+            rows.append((100 * k + i, f"own {k} {i}\npassage {k} " + "word " * 50, site))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = remove_spread_lines(docs).select("text").collect()
+    assert len(left) == 800 and all(row.text.startswith("own") and "passage" not in row.text for row in left)
