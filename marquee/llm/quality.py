@@ -10,8 +10,8 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,17 +154,16 @@ def _told(batches, content: View, pages: View):
         yield pa.RecordBatch.from_pydict({"doc_id": column["doc_id"], "a": _sigmoid(a), "b": _sigmoid(b)})
 
 
-def _vectors(rows: DataFrame, buckets: str, stats: str, width: int, output: str) -> DataFrame:
-    """A sparse vector from buckets and numbers, put together by the ML library's own stages."""
-    counted, dense = f"{output}_buckets", f"{output}_stats"
-    model = CountVectorizerModel.from_vocabulary(
-        [str(i) for i in range(width)], inputCol="_text", outputCol=counted, binary=True
+def _vector(buckets: str, stats: str, width: int, numbers: int) -> Column:
+    """The stored form of a sparse vector: ones at the buckets, then the numbers."""
+    behind = F.array(*[F.lit(width + i) for i in range(numbers)])
+    ones = F.transform(buckets, lambda _: F.lit(1.0))
+    return F.struct(
+        F.lit(0).cast("byte").alias("type"),
+        F.lit(width + numbers).alias("size"),
+        F.concat(buckets, behind).alias("indices"),
+        F.concat(ones, stats).alias("values"),
     )
-    rows = model.transform(rows.withColumn("_text", F.col(buckets).cast("array<string>"))).drop("_text")
-    rows = rows.withColumn(dense, array_to_vector(stats))
-    rows = VectorAssembler(inputCols=[counted, dense], outputCol=output).transform(rows)
-    # without a description of each of the many dimensions, which every plan would carry along
-    return rows.withColumn(output, F.col(output).alias(output, metadata={})).drop(counted, dense)
 
 
 @dataclass
@@ -284,7 +283,7 @@ def train(
     taught = _chosen(known.join(features.select("doc_id").distinct(), "doc_id", "left_semi"), labelled)
     # at most `labelled` rows of 16 bytes
     rows = _fold(_once(features, store.keep(taught, "chosen")))
-    rows = store.keep(rows, "rows").coalesce(8)
+    rows = store.keep(rows, "rows", FOLDED).coalesce(8)
     train_rows = rows.where("bad is not null and not held")
     if train_rows.isEmpty():
         train_rows = rows.where("bad is not null")
@@ -301,8 +300,8 @@ def train(
         sure = [(F.col(c) >= SURE) | (F.col(c) <= 1 - SURE) for c in "ab"]
         told = told.where(sure[0] | sure[1]).join(known, "doc_id", "left_anti")
         told = store.keep(told.groupBy("doc_id").agg(F.max("a").alias("a"), F.max("b").alias("b")), "told")
-        given_b = store.keep(_fold(_once(features, _sure(told, "a"))), "given").coalesce(8)
-        given_a = store.keep(_fold(_once(features, _sure(told, "b"))), "given").coalesce(8)
+        given_b = store.keep(_fold(_once(features, _sure(told, "a"))), "given", FOLDED).coalesce(8)
+        given_a = store.keep(_fold(_once(features, _sure(told, "b"))), "given", FOLDED).coalesce(8)
         learn_a = train_rows.select("a", "bad").unionByName(given_a.select("a", "bad"))
         learn_b = train_rows.select("b", "bad").unionByName(given_b.select("b", "bad"))
     held = rows.where("bad is not null and held").select("a", "b", "bad")
@@ -332,12 +331,22 @@ def _view(fitted) -> View:
     return View(np.asarray(fitted.coefficients.toArray()), float(np.clip(fitted.intercept, -20, 20)))
 
 
+#: What `_fold` has written, with the vectors as such.
+FOLDED = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("bad", T.DoubleType()), T.StructField("a", VectorUDT()),
+    T.StructField("b", VectorUDT()), T.StructField("held", T.BooleanType()),
+])
+
+
 def _fold(rows: DataFrame) -> DataFrame:
     """(doc_id, bad, a, b, held): the vectors of both views, and whether a row is held out."""
-    rows = _vectors(rows, "words", "content", WORD_BUCKETS, "a")
-    rows = _vectors(rows, "pages", "layout", META_BUCKETS, "b")
-    held = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0
-    return rows.select("doc_id", "bad", "a", "b", held.alias("held"))
+    return rows.select(
+        "doc_id",
+        "bad",
+        _vector("words", "content", WORD_BUCKETS, CONTENT_STATS).alias("a"),
+        _vector("pages", "layout", META_BUCKETS, META_STATS).alias("b"),
+        (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)) == 0).alias("held"),
+    )
 
 
 def _sure(told: DataFrame, view: str) -> DataFrame:

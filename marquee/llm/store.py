@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from marquee.session import scratch_path
 
@@ -19,10 +20,11 @@ class Store:
         self.label = label
         self._paths: dict[int, tuple[DataFrame, str]] = {}
 
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
+    def keep(self, df: DataFrame, label: str, schema: T.StructType | None = None) -> DataFrame:
+        """`schema` may name other types of the same stored form."""
         path = scratch_path(self.spark, f"{self.label}-{label}")
         df.write.parquet(path)
-        table = self.spark.read.schema(df.schema).parquet(path)
+        table = self.spark.read.schema(schema or df.schema).parquet(path)
         self._paths[id(table)] = (table, path)
         return table
 
