@@ -269,18 +269,18 @@ def predict(
 
 def evaluate(
     predictions: DataFrame, name: str, settings: Settings = Settings(),
-    metrics_path: str | None = None,
+    metrics_path: str | None = None, run_id: str | None = None,
 ) -> dict[str, float] | None:
     found = errors(predictions, settings.label, settings.prediction)
     if found is not None and metrics_path is not None:
-        log_metrics(predictions.sparkSession, metrics_path, name, found)
+        log_metrics(predictions.sparkSession, metrics_path, name, found, run_id)
     return found
 
 
 def run(
     mode: str, train_rows: DataFrame | None, test_rows: DataFrame | None, save_dir: str,
     name: str = "lr", settings: Settings = Settings(), metrics_path: str | None = None,
-    retrain: bool = False,
+    retrain: bool = False, run_id: str | None = None,
 ) -> dict[str, float] | None:
     """`train` fits and saves, `test` predicts and evaluates, `full` does both."""
     if mode not in MODES:
@@ -289,4 +289,5 @@ def run(
         train(train_rows, save_dir, name, settings, retrain)
     if mode == "train":
         return None
-    return evaluate(predict(test_rows, save_dir, name, settings), name, settings, metrics_path)
+    predictions = predict(test_rows, save_dir, name, settings)
+    return evaluate(predictions, name, settings, metrics_path, run_id)

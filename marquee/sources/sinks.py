@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Iterable
 from itertools import islice
 
@@ -38,15 +40,28 @@ def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
     conform(df, schema).write.mode("append").parquet(path)
 
 
-def log_metrics(spark: SparkSession, path: str, model: str, metrics: dict[str, float]) -> None:
-    """Append one row (time, model, rmse, mae, mse) to the metrics log."""
+def log_metrics(
+    spark: SparkSession,
+    path: str,
+    model: str,
+    metrics: dict[str, float],
+    run_id: str | None = None,
+) -> None:
+    """Add one row (time, model, rmse, mae, mse) to the metrics log.
+
+    Each run has a folder of its own, so a run that is repeated under its id replaces its row.
+    Without an id the row is a run of its own.
+    """
     row = [(model, *(float(metrics[name]) for name in ("rmse", "mae", "mse")))]
     df = spark.createDataFrame(row, "model string, rmse double, mae double, mse double")
-    append_table(df.withColumn("ts", F.current_timestamp()), path, METRICS)
+    stamped = conform(df.withColumn("ts", F.current_timestamp()), METRICS)
+    folder = hashlib.sha256((run_id or uuid.uuid4().hex).encode()).hexdigest()
+    stamped.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={folder}")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRICS).parquet(path)
+    """All rows of the log, those that lie beside the runs' folders among them."""
+    return spark.read.schema(METRICS).option("recursiveFileLookup", "true").parquet(path)
 
 
 def bulk_write(

@@ -90,6 +90,35 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> None:
         raise TimeoutError(f"stream still running after {timeout} seconds")
 
 
+def keep_summaries(
+    rows: DataFrame,
+    summary: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+) -> StreamingQuery:
+    """Keep `summary(batch)` of every micro-batch: offsets seen, sketches, counters. A batch that
+    is repeated replaces its summary, so nothing is counted twice."""
+    write = keyed_writer(path)
+    return each_batch(rows, lambda batch, epoch: write(summary(batch), epoch), checkpoint, interval)
+
+
+def read_summaries(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The kept summaries of all batches, to be merged by what has made them."""
+    fields = T.StructType.fromDDL(schema)
+    return spark.read.schema(fields).parquet(path).select(*fields.fieldNames())
+
+
+def once(rows: DataFrame, key: str, time: str, horizon: str) -> DataFrame:
+    """Rows of a stream whose key has not been seen within `horizon` of event time.
+
+    The keys seen are state of the stream: a restart from its checkpoint knows them. They are
+    dropped once the watermark has passed their time and the horizon, so state is bounded by what
+    arrives in one horizon; rows that are later than the watermark are dropped as well.
+    """
+    return rows.withWatermark(time, horizon).dropDuplicatesWithinWatermark([key])
+
+
 def keyed_writer(table: str) -> Callable[[DataFrame, int], None]:
     """Batch function that upserts into a keyed table.
 
