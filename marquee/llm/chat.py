@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+import tempfile
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.template import BEGIN, END, STEP, compile_template
+from marquee.llm.template import BEGIN, END, STEP, compile_template, reads_once
 
 #: Turns between control strings; only what the assistant says is marked as generated.
 CHATML = (
@@ -24,6 +27,8 @@ CHATML = (
 )
 #: A conversation's text is cut after the turn that reaches this many code points.
 PIECE_CHARS = 1 << 18
+#: Bytes of a conversation that a template reads more than once and that stay in memory.
+SPOOL_BYTES = 1 << 24
 
 _OPENING = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
@@ -80,6 +85,28 @@ def _conversations(batches) -> Iterator[tuple[int | None, Iterator[dict]]]:
             pass
 
 
+class Turns(Sequence):
+    """A conversation for templates that read it twice or out of order. It goes to a file of the
+    task once it is large; the task makes it and ends with it, so no other task needs the file."""
+
+    def __init__(self, messages: Iterator[dict]):
+        self._file = tempfile.SpooledTemporaryFile(SPOOL_BYTES)
+        self._at = array("q")
+        for message in messages:
+            self._at.append(self._file.tell())
+            self._file.write(json.dumps(message).encode() + b"\n")
+
+    def __len__(self) -> int:
+        return len(self._at)
+
+    def __getitem__(self, index: int) -> dict:
+        self._file.seek(self._at[index])
+        return json.loads(self._file.readline())
+
+    def close(self) -> None:
+        self._file.close()
+
+
 def _pieces(render, messages) -> Iterator[tuple[str, list[dict]]]:
     parts: list[str] = []
     spans: list[dict] = []
@@ -101,7 +128,7 @@ def _pieces(render, messages) -> Iterator[tuple[str, list[dict]]]:
 
 
 def _format(batches, template: str):
-    render = compile_template(template, FILTERS)
+    render, once = compile_template(template, FILTERS), reads_once(template, "messages", FILTERS)
     schema = pa.schema([
         ("conv_id", pa.int64()), ("piece", pa.int64()), ("text", pa.string()),
         ("generated", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -109,12 +136,14 @@ def _format(batches, template: str):
     rows: list[dict] = []
     chars = 0
     for conv_id, messages in _conversations(batches):
-        for number, (text, spans) in enumerate(_pieces(render, messages)):
+        turns = messages if once else Turns(messages)
+        for number, (text, spans) in enumerate(_pieces(render, turns)):
             rows.append({"conv_id": conv_id, "piece": number, "text": text, "generated": spans})
             chars += len(text)
             if chars >= 8 * PIECE_CHARS or len(rows) >= 4096:
                 yield pa.RecordBatch.from_pylist(rows, schema)
                 rows, chars = [], 0
+        turns.close()
     if rows:
         yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -132,7 +161,8 @@ def format_conversations(conversations: DataFrame, template: str = CHATML) -> Da
 
     Only one conversation's order needs its rows in one task. They are sorted on disk if need be
     and streamed through the compiled template, so a conversation of any length takes the memory of
-    one piece.
+    one piece. A template that looks at the first or last message, at their number, or at all of them
+    twice is given them from a file of the task; that takes eight bytes of memory for each message.
     """
     order = ["conv_id", "turn", "role", "text"]
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), *order[1:])

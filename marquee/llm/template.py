@@ -6,20 +6,22 @@ comment; a dash next to the percent sign or brace strips the white space there.
 constants, names, fields (`message.role`, `message['role']`), comparisons, `+`, `~`, `in`, `and`,
 `or`, `not`, parentheses and filters from a fixed list.
 
-The sandbox: a template reaches only the names it is given and the fields of mappings. There are no
-calls, no attributes of Python objects and no loops but over given sequences.
+The sandbox: a template reaches only the names it is given, the fields of mappings and the items of
+sequences (`messages[0]`, `messages[-1]`). There are no calls, no attributes of Python objects and no
+loops but over given sequences.
 
 A compiled template is a generator: it pulls messages one at a time and yields strings, `BEGIN` and
 `END` around generated text, and `STEP` after each turn of an outermost loop. So a conversation of
-any length is rendered in the memory of its longest message.
+any length is rendered in the memory of its longest message, if the template reads messages only
+once and in order (`reads_once`); else it must be given a sequence.
 """
 
 from __future__ import annotations
 
 import operator
 import re
-from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Mapping, Sequence, Sized
+from dataclasses import dataclass, fields, is_dataclass
 from typing import Any
 
 BEGIN, END, STEP = object(), object(), object()
@@ -101,7 +103,17 @@ def text_of(value: Any) -> str:
 
 
 def _field(value: Any, key: Any) -> Any:
-    return value.get(key) if isinstance(value, Mapping) else None
+    if isinstance(value, Mapping):
+        return value.get(key)
+    if isinstance(value, Sequence) and not isinstance(value, str) and isinstance(key, int):
+        return value[key] if -len(value) <= key < len(value) else None
+    return None
+
+
+def _length(value: Any) -> int:
+    if value is not None and not isinstance(value, Sized):
+        raise TemplateError(f"{type(value).__name__} has no length")
+    return 0 if value is None else len(value)
 
 
 def _plus(a: Any, b: Any) -> Any:
@@ -112,7 +124,7 @@ FILTERS: dict[str, Callable[[Any], Any]] = {
     "trim": lambda v: text_of(v).strip(),
     "lower": lambda v: text_of(v).lower(),
     "upper": lambda v: text_of(v).upper(),
-    "length": lambda v: 0 if v is None else len(v),
+    "length": _length,
 }
 
 
@@ -203,6 +215,9 @@ class _Expression:
                 value = Const(re.sub(r"\\(.)", lambda m: _ESCAPES.get(m[1], m[1]), token[1:-1], flags=re.S))
             elif kind == "number":
                 value = Const(int(token))
+            elif token == "-" and self.at < len(self.tokens) and self.tokens[self.at][0] == "number":
+                value = Const(-int(self.tokens[self.at][1]))
+                self.at += 1
             elif kind == "name":
                 value = Const(_CONSTANTS[token]) if token in _CONSTANTS else Name(token)
             else:
@@ -436,3 +451,27 @@ def compile_template(
     """A function of the template's names that renders it; `filters` extend the fixed list."""
     run = _run(fold(parse(source, FILTERS | dict(filters or {}))), True)
     return lambda **names: run(dict(names))
+
+
+def reads_once(
+    source: str, name: str, filters: Mapping[str, Callable[[Any], Any]] | None = None
+) -> bool:
+    """Whether the template reads `name` by one loop that runs once, and in no other way."""
+    uses, loops = _reads(fold(parse(source, FILTERS | dict(filters or {}))), name, False)
+    return uses == loops <= 1
+
+
+def _reads(node, name: str, inside: bool) -> tuple[int, int]:
+    """How often a name is read below a node, and how often of that by a loop over it that is not
+    inside another loop."""
+    if isinstance(node, Name):
+        return int(node.name == name), 0
+    own = int(isinstance(node, For) and node.over == Name(name) and not inside)
+    if isinstance(node, tuple):
+        parts = node
+    elif is_dataclass(node):
+        parts = tuple(getattr(node, field.name) for field in fields(node))
+    else:
+        return 0, 0
+    below = [_reads(part, name, inside or isinstance(node, For)) for part in parts]
+    return sum(uses for uses, _ in below), own + sum(loops for _, loops in below)

@@ -44,6 +44,13 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     return rule, verdict
 
 
+def visible_text(html: Column) -> Column:
+    """A page without scripts, styles, comments, tags and named entities, each of which leaves a
+    blank. What is never closed stays."""
+    hidden = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[a-z/!?][^>]*>|&[a-z0-9]+;"
+    return F.regexp_replace(html, hidden, " ")
+
+
 def word_counts(texts: DataFrame, column: str) -> DataFrame:
     """(word, n): how often each run of letters a-z occurs in the texts; runs that no label can
     hold are left out."""
@@ -118,7 +125,7 @@ def filter_urls(
 
     The longest rule that fits a url decides. The others are judged by naive Bayes over the words
     of the host and the tokens of the path, learnt from all urls that a rule decides. Words run
-    together in a host are told apart by their frequency in the texts of all pages.
+    together in a host are told apart by their frequency in the texts of all pages, without markup.
 
     A null url, or one without `://`, has an empty host and path and is judged by the prior. Null
     pages teach no words. Without a rule that decides anything both classes are alike, and a score
@@ -136,7 +143,8 @@ def filter_urls(
     each = store.keep(
         parsed.groupBy("host", "path").agg(F.count("*").alias("n")).withColumn("rule", rule).withColumn("said", said), "urls"
     )
-    hosts = _host_words(each.select("host").distinct(), word_counts(rows, html_column), store)
+    pages_text = rows.select(visible_text(F.col(f"`{html_column}`")).alias(html_column))
+    hosts = _host_words(each.select("host").distinct(), word_counts(pages_text, html_column), store)
     told = each.where("said is not null").withColumn("block", F.when(F.col("said") == "block", F.col("n")).otherwise(0))
     model = store.keep(_learn(told, hosts), "tokens")
     prior = told.agg(F.sum("block").alias("b"), F.sum("n").alias("n")).first()

@@ -38,3 +38,17 @@ def test_a_long_conversation_comes_in_pieces(spark):
     assert turns == [(r[2], r[3]) for r in rows]
     said = "".join(chat.unescape(p.text[s.start : s.end]) for p in pieces for s in p.generated)
     assert hashlib.sha256(said.encode()).digest() == hashlib.sha256("".join(r[3] for r in rows if r[2] == "assistant").encode()).digest()
+
+
+def test_a_template_that_looks_ahead(spark, monkeypatch):
+    monkeypatch.setattr(chat, "SPOOL_BYTES", 10)
+    rows = [(1, 0, "system", "be é", "", ""), (1, 1, "user", "q\n", "", ""), (2, 0, "user", "r", "", ""), (3, 0, "user", "", "", "")]
+    template = (
+        "{% if messages[0].role == 'system' %}[{{ messages[0].text }}]{% endif %}{{ messages | length }}"
+        "{% for m in messages %}{{ m.text }};{% endfor %}{% for m in messages %}{{ m.role }}{% if loop.last %}.{% endif %}{% endfor %}"
+        "{{ messages[-1].text }}"
+    )
+    got = format_conversations(spark.createDataFrame(rows, SCHEMA), template).collect()
+    assert {g.conv_id: g.text for g in got} == {
+        1: "[be é]2be é;q\n;systemuser.q\n", 2: "1r;user.r", 3: "1;user.",
+    }

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm.urls import RULES, filter_urls, host_of, path_of, rule_of, segment
+from marquee.llm.urls import RULES, filter_urls, host_of, path_of, rule_of, segment, visible_text, word_counts
 
 SCHEMA = "page_id long, url string, html string, host string, rule int, token string"
 
@@ -90,3 +90,14 @@ def test_long_words_stay_whole(spark):
     df = spark.createDataFrame([(i, url, html, "h", 1, "t") for i, url in enumerate(urls)], SCHEMA)
     got = {g.page_id: list(g.host_words) for g in filter_urls(df).collect()}
     assert got[0][:2] == ["die", long] and got[1][0] == longest
+
+
+def test_markup_teaches_no_words(spark):
+    html = (
+        "<!DOCTYPE html><div class='wide'>Plain&nbsp;text<br/>more <!-- remark > here --><SCRIPT src=x>var code = 1 < 2;</Script >"
+        "<style>body {}</style>a < b, <p title=\"t\">end</p> <never closed"
+    )
+    df = spark.createDataFrame([(html,), (None,), ("",)], "html string")
+    texts = df.select(visible_text(F.col("html")).alias("html"))
+    got = {r.word: r.n for r in word_counts(texts, "html").collect()}
+    assert got == dict.fromkeys(["plain", "text", "more", "a", "b", "end", "never", "closed"], 1)

@@ -1,7 +1,7 @@
 import pytest
 
 from marquee.llm.chat import CHATML, FILTERS, escape, escape_line, read_turns, unescape, unescape_line
-from marquee.llm.template import BEGIN, END, FILTERS as PLAIN, STEP, Const, TemplateError, Write, compile_template, fold, parse
+from marquee.llm.template import BEGIN, END, FILTERS as PLAIN, STEP, Const, TemplateError, Write, compile_template, fold, parse, reads_once
 
 
 def render(source, **names):
@@ -56,3 +56,25 @@ def test_escapes_are_reversible(text):
     assert unescape_line(escape_line(text)) == text and "\n" not in escape_line(text)
     formatted = render(CHATML, messages=[{"role": text, "text": text}, {"role": "assistant", "text": text}])
     assert read_turns(formatted) == [(text, text), ("assistant", text)]
+
+
+def test_items_and_length():
+    ms = [{"role": "system"}, {"role": "user"}, {"role": "assistant"}]
+    source = (
+        "{% if messages[0].role == 'system' %}s{% endif %}{{ messages[-1]['role'] }}{{ messages | length }}"
+        "{{ messages[7] }}{% for m in messages %}{{ m.role }},{% endfor %}{% for m in messages %}{{ loop.index }}{% endfor %}"
+    )
+    assert render(source, messages=ms) == "sassistant3system,user,assistant,123"
+    with pytest.raises(TemplateError):
+        render("{{ x | length }}", x=5)
+
+
+def test_reads_once():
+    assert reads_once(CHATML, "messages", FILTERS) and reads_once("no messages", "messages")
+    assert reads_once("{% if x %}{% for m in messages %}{{ m.t }}{% endfor %}{% endif %}", "messages")
+    for source in (
+        "{{ messages[0].t }}", "{% set x = messages %}", "{{ messages | length }}",
+        "{% for m in messages %}{% endfor %}{% for m in messages %}{% endfor %}",
+        "{% for n in ns %}{% for m in messages %}{% endfor %}{% endfor %}",
+    ):
+        assert not reads_once(source, "messages")
