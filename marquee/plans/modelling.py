@@ -12,7 +12,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators import columns, metrics, recommend, regression, splits
+from marquee.operators import columns, factors, metrics, recommend, regression, splits
+from marquee.operators.joins import join_many_to_one
 from marquee.plans.cleaning import WORDS_SQL
 from marquee.plans.registry import query, table
 from marquee.plans.selection import ITEM_MEAN_ERRORS, item_mean_predictions
@@ -172,16 +173,16 @@ def als_metrics(spark, sf_dir):
     return sinks.read_metrics(spark, log).select("model", "rmse", "mae", "mse")
 
 
-@query(
-    "als_learns",
-    f"""
+_LEARNS_SQL = f"""
     WITH p AS (
       SELECT item_id, rating - avg(rating) OVER (PARTITION BY item_id) AS e FROM (
         SELECT user_id, item_id, avg(rating) AS rating FROM ({RATINGS_SQL}) GROUP BY user_id, item_id)
         JOIN ({_SPLIT_SQL}) USING (user_id, item_id) WHERE in_train)
     SELECT count(*) AS n, round(avg(e * e), 6) AS item_mean_mse, true AS better FROM p
-    """,
-)
+    """
+
+
+@query("als_learns", _LEARNS_SQL)
 def als_learns(spark, sf_dir):
     """Over its training rows the factorisation errs less than the mean of each item."""
     train, _ = _split_ratings(spark, sf_dir)
@@ -192,6 +193,49 @@ def als_learns(spark, sf_dir):
     return metrics.against_group_means(told, "item_id", "rating", "rating_prediction")
 
 
+@query("als_sums_learns", _LEARNS_SQL)
+def als_sums_learns(spark, sf_dir):
+    """The same by sums of products, where an item's ratings need not meet in one task."""
+    train, _ = _split_ratings(spark, sf_dir)
+    settings = dataclasses.replace(RATED, reg_param=0.01, nonnegative=False, method="sums")
+    path = scratch_path(spark, "als")
+    recommend.train(train, path, settings)
+    told = materialize(recommend.predict(train, path, settings), "told")
+    return metrics.against_group_means(told, "item_id", "rating", "rating_prediction")
+
+
+@query(
+    "segment_lines",
+    """
+    SELECT c_mktsegment || ' ' || o_orderstatus AS kind, count(*) AS n,
+      round(regr_intercept(o_totalprice / 1000, c_acctbal / 1000), 5) AS intercept,
+      round(regr_slope(o_totalprice / 1000, c_acctbal / 1000), 5) AS slope
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+    """,
+)
+def segment_lines(spark, sf_dir):
+    """Half an iteration with known factors (1, balance): a line through the orders of each kind."""
+    customers = table(spark, sf_dir, "customer")
+    one = F.array(F.lit(1.0), F.col("c_acctbal").cast("double") / 1000)
+    known = customers.select(F.col("c_custkey").alias("id"), one.alias("features"))
+    segments = customers.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice")
+    orders = join_many_to_one(orders, segments, "o_custkey").select(
+        "o_custkey",
+        F.concat_ws(" ", "c_mktsegment", "o_orderstatus").alias("kind"),
+        (F.col("o_totalprice").cast("double") / 1000).alias("price"),
+    )
+    sums = factors.normal_equations(orders, known, 2, "kind", "o_custkey", "price")
+    sums = materialize(sums, "sums")
+    lines = factors.solve(sums, 2, "kind", 0.0, False).withColumnRenamed("id", "kind")
+    return join_many_to_one(lines, sums.select("kind", "n"), "kind").select(
+        "kind",
+        "n",
+        F.round(F.col("features")[0], 5).alias("intercept"),
+        F.round(F.col("features")[1], 5).alias("slope"),
+    )
+
+
 def _products(spark, sf_dir) -> DataFrame:
     """Parts as the product table: all text, then renamed and cast."""
     rows = spread(table(spark, sf_dir, "part"), "p_partkey").select(
