@@ -22,7 +22,7 @@ class Tree:
 
     A node's children halve its covering radius, as far as `FANOUT` centres, each the farthest from
     those before, reach; the radius that is stored is the measured one, which alone the search
-    relies on. A node's own centre is its first child's.
+    relies on, as it does on `most`, the largest norm. A node's own centre is its first child's.
     """
 
     ids: np.ndarray
@@ -31,7 +31,7 @@ class Tree:
     high: np.ndarray
     center: np.ndarray
     radius: np.ndarray
-    norm: np.ndarray
+    most: np.ndarray
     least_id: np.ndarray
     children: list[list[int]]
 
@@ -46,6 +46,7 @@ class Tree:
 def build(ids: np.ndarray, vectors: np.ndarray) -> Tree:
     """`vectors` holds integers, a row for each id."""
     points = vectors.astype(np.float64)
+    norms = np.linalg.norm(points, axis=1)
     order = np.arange(len(ids))
     low, high, centers, radii, children = [], [], [], [], []
 
@@ -88,7 +89,8 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> Tree:
     center = points[centers]
     return Tree(
         ids, vectors[order], np.array(low), np.array(high), center, np.array(radii),
-        np.linalg.norm(center, axis=1), np.array([ids[a:b].min() for a, b in zip(low, high, strict=True)]), children,
+        np.array([norms[order[a:b]].max() for a, b in zip(low, high, strict=True)]),
+        np.array([ids[a:b].min() for a, b in zip(low, high, strict=True)]), children,
     )
 
 
@@ -128,26 +130,45 @@ class Best:
         self.scores[who], self.ids[who] = scores[take], ids[take]
 
 
-def search(queries: Tree, data: Tree, best: Best) -> None:
-    """Improve `best` (rows as in `queries`) by all of `data` that can.
+def search(queries: Tree, data: Tree, best: Best) -> int:
+    """Improve `best` (rows as in `queries`) by all of `data` that can; the number of products made.
 
-    A pair of nodes is left out if the largest product that the centres and covering radii allow is
-    below the worst kth score in the query node, or equal to it with no smaller id in reach.
+    A pair of nodes is left out if the largest product that centres, covering radii and norms allow
+    is below the worst kth score in the query node, or equal to it with no smaller id in reach. Two
+    bounds hold: q.d grows from the centres' product by at most |qc| dr + (|dc| + dr) qr; and it is
+    (|q|^2 + |d|^2 - |q - d|^2) / 2, where the distance is at least the centres' less both radii.
+    The second is the lower one for nodes nearer to each other than about their norm. In a leaf of
+    queries, which may be wide, each query's own bound decides then.
     """
     kind = exact_type(queries.vectors, data.vectors)
     left, right = queries.vectors.astype(kind), data.vectors.astype(kind)
 
     def bounds(q: int, nodes: np.ndarray) -> np.ndarray:
-        products = data.center[nodes] @ queries.center[q]
-        reach = products + queries.norm[q] * data.radius[nodes] + (
-            data.norm[nodes] + data.radius[nodes]
-        ) * queries.radius[q]
-        return reach * (1 + np.sign(reach) * 1e-9) + 1e-6
-
+        centers, radii = data.center[nodes], data.radius[nodes]
+        own, radius = queries.center[q], queries.radius[q]
+        ball = centers @ own + np.linalg.norm(own) * radii + (np.linalg.norm(centers, axis=1) + radii) * radius
+        gap = np.maximum(np.linalg.norm(centers - own, axis=1) - radii - radius, 0)
+        cosine = (queries.most[q] ** 2 + data.most[nodes] ** 2 - gap * gap) / 2
+        reach = np.minimum(ball, cosine)
+        # rounding is relative to the squares, which cancel
+        return reach + 1e-9 * (queries.most[q] ** 2 + data.most[nodes] ** 2) + 1e-6
+
+    points = queries.vectors.astype(np.float64)
+    norms = np.linalg.norm(points, axis=1)
+
+    def reaches(rows: np.ndarray, d: int) -> np.ndarray:
+        """The same bounds for each query of a leaf, whose radius is 0."""
+        ball = points[rows] @ data.center[d] + norms[rows] * data.radius[d]
+        gap = np.maximum(np.linalg.norm(points[rows] - data.center[d], axis=1) - data.radius[d], 0)
+        squares = norms[rows] ** 2 + data.most[d] ** 2
+        return np.minimum(ball, (squares - gap * gap) / 2) + 1e-9 * squares + 1e-6
+
+    made = 0
     todo = [(float("inf"), 0, 0)]
     while todo:
         bound, q, d = todo.pop()
         rows = slice(queries.low[q], queries.high[q])
+        own = np.arange(rows.start, rows.stop)
         if np.isfinite(bound):
             worst = best.scores[rows, -1]
             at = worst.min()
@@ -155,17 +176,25 @@ def search(queries: Tree, data: Tree, best: Best) -> None:
                 continue
         q_open, d_open = queries.children[q], data.children[d]
         if not q_open and not d_open:
-            _leaves(queries, data, left, right, rows, slice(data.low[d], data.high[d]), best)
+            if np.isfinite(bound):
+                own = own[reaches(own, d) >= best.scores[own, -1]]
+            _leaves(queries, data, left, right, own, slice(data.low[d], data.high[d]), best)
+            made += int(len(own) * (data.high[d] - data.low[d]))
             continue
         # open the wider node; the most promising pairs are looked at first
+        if d_open and not q_open and np.isfinite(bound) and not (reaches(own, d) >= best.scores[own, -1]).any():
+            continue
         if q_open and (not d_open or queries.radius[q] > data.radius[d]):
             pairs = [(float(bounds(c, np.array([d]))[0]), c, d) for c in q_open]
         else:
             pairs = [(float(b), q, c) for b, c in zip(bounds(q, np.array(d_open)), d_open, strict=True)]
         todo.extend(sorted(pairs))
+    return made
 
 
 def _leaves(queries, data, left, right, rows, columns, best) -> None:
+    if not len(rows):
+        return
     scores = (left[rows] @ right[columns].T).astype(np.int64)
     ids = data.ids[columns]
     k = best.scores.shape[1]
@@ -177,4 +206,4 @@ def _leaves(queries, data, left, right, rows, columns, best) -> None:
     hit = (scores >= floor[:, None]) & (ids[None, :] != queries.ids[rows][:, None])
     at, of = np.nonzero(hit)
     if len(at):
-        best.offer(at + rows.start, scores[at, of], ids[of])
+        best.offer(rows[at], scores[at, of], ids[of])

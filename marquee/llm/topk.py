@@ -21,7 +21,7 @@ PIVOTS = 64
 #: Query blocks that meet one data block in one task.
 QUERY_BLOCKS = 32
 
-TREE = "dim int, block long, tree binary, center array<double>, radius double, n long"
+TREE = "dim int, cell long, block long, tree binary, center array<double>, radius double, most double, n long"
 
 
 def whole_numbers(vector: Column, scale: float = 256.0) -> Column:
@@ -55,8 +55,9 @@ def _tree(rows: pd.DataFrame) -> pd.DataFrame:
     vectors = np.stack(rows["vector"].to_numpy()).astype(np.int64)
     tree = covertree.build(rows["id"].to_numpy(np.int64), vectors)
     return pd.DataFrame({
-        "dim": [int(rows["dim"].iloc[0])], "block": [int(rows["block"].iloc[0])], "tree": [tree.dump()],
-        "center": [tree.center[0]], "radius": [float(tree.radius[0])], "n": [len(rows)],
+        "dim": [int(rows["dim"].iloc[0])], "cell": [int(rows["cell"].iloc[0])],
+        "block": [int(rows["block"].iloc[0])], "tree": [tree.dump()], "center": [tree.center[0]],
+        "radius": [float(tree.radius[0])], "most": [float(tree.most[0])], "n": [len(rows)],
     })
 
 
@@ -73,21 +74,42 @@ def _trees(rows: DataFrame, block_rows: int, store: Store, label: str) -> DataFr
         "block", F.col("first") + F.pmod(F.xxhash64("id", "vector"), F.col("parts"))
     )
     return store.keep(
-        placed.select("dim", "block", "id", "vector").groupBy("dim", "block").applyInPandas(_tree, TREE), label
+        placed.select("dim", "cell", "block", "id", "vector").groupBy("dim", "block").applyInPandas(_tree, TREE), label
     )
 
 
-def _reach(a: str, b: str) -> Column:
-    """The largest product of a vector of block `a` and one of block `b`."""
+def _length(vector: Column) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
+
+
+def _gap(a: Column, b: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
-    def norm(center):
-        return F.sqrt(F.aggregate(center, F.lit(0.0), lambda s, x: s + x * x))
 
+def _reach(a: str, b: str) -> Column:
+    """The largest product of a vector of `a` and one of `b`, blocks or cells, by the two bounds of
+    `covertree.search`."""
     q, d = F.col(f"{a}.center"), F.col(f"{b}.center")
-    product = F.aggregate(F.zip_with(q, d, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     qr, dr = F.col(f"{a}.radius"), F.col(f"{b}.radius")
-    reach = product + norm(q) * dr + (norm(d) + dr) * qr
-    return reach + F.abs(reach) * 1e-9 + 1e-6
+    product = F.aggregate(F.zip_with(q, d, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    ball = product + _length(q) * dr + (_length(d) + dr) * qr
+    gap = F.greatest(_gap(q, d) - qr - dr, F.lit(0.0))
+    squares = F.col(f"{a}.most") * F.col(f"{a}.most") + F.col(f"{b}.most") * F.col(f"{b}.most")
+    return F.least(ball, (squares - gap * gap) / 2) + squares * 1e-9 + 1e-6
+
+
+def _cells(blocks: DataFrame) -> DataFrame:
+    """A ball around the blocks of each cell: at most PIVOTS rows for each length of vectors."""
+    middle = blocks.groupBy("dim", "cell").agg(F.min_by("center", "block").alias("middle"))
+    return (
+        blocks.join(middle, ["dim", "cell"])
+        .groupBy("dim", "cell")
+        .agg(
+            F.first("middle").alias("center"),
+            F.max(_gap(F.col("middle"), F.col("center")) + F.col("radius")).alias("radius"),
+            F.max("most").alias("most"),
+        )
+    )
 
 
 FOUND = "dim int, query_block long, query_id long, vec_id long, score long"
@@ -154,9 +176,10 @@ def top_k(
     columns are ignored.
 
     Vectors are put into blocks around pivots and each block becomes a cover tree, written to the
-    shared folder; so do the queries. Every query block first searches the data block that is
-    nearest to it. The worst kth score it then has rules out, by the blocks' covering radii, data
-    blocks without a chance; the rest is searched node pair by node pair.
+    shared folder; so do the queries. Every query block first searches one data block of its own
+    cell. The worst kth score it then has rules out, by covering radii and norms, first whole cells
+    and then data blocks without a chance, so block pairs are made only of cells that are left; the
+    rest is searched node pair by node pair.
     """
     store = Store(vectors.sparkSession, "topk")
     rows = vectors.select(
@@ -181,21 +204,21 @@ def top_k(
     data = _trees(celled.dropDuplicates(["id", "vector"]), block_rows, store, "data")
     asked = _trees(celled.where("asks").dropDuplicates(["id", "vector"]), query_rows, store, "queries")
 
-    places = data.select("dim", "block", "center", "radius").alias("d")
-    asks = asked.select("dim", "block", "center", "radius").alias("q")
-    # block by block: the stated queries against all rows
-    pairs = store.keep(
-        asks.join(places, F.col("q.dim") == F.col("d.dim")).select(
-            F.col("q.dim").alias("dim"), F.col("q.block").alias("block"), F.col("d.block").alias("data_block"),
-            _reach("q", "d").alias("reach"),
-            F.aggregate(
-                F.zip_with("q.center", "d.center", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x
-            ).alias("gap"),
-        ),
-        "pairs",
+    places = data.select("dim", "cell", "block", "center", "radius", "most")
+    asks = asked.select("dim", "cell", "block", "center", "radius", "most")
+    # a query is a row of its cell, so its cell has data blocks; they are random parts of the cell
+    in_cell = Window.partitionBy("dim", "cell")
+    turns = places.select(
+        "dim", "cell", F.col("block").alias("data_block"),
+        (F.row_number().over(in_cell.orderBy("block")) - 1).alias("nth"), F.count("*").over(in_cell).alias("parts"),
     )
+    parts = turns.where("nth = 0").select("dim", "cell", "parts")
     home = store.keep(
-        pairs.groupBy("dim", "block").agg(F.min_by("data_block", F.struct("gap", "data_block")).alias("data_block")),
+        asks.select("dim", "cell", "block")
+        .join(parts, ["dim", "cell"])
+        .withColumn("nth", F.pmod(F.xxhash64("block"), F.col("parts")).cast("int"))
+        .join(turns.drop("parts"), ["dim", "cell", "nth"])
+        .select("dim", "block", "data_block"),
         "home",
     )
 
@@ -223,11 +246,23 @@ def top_k(
         .applyInPandas(lambda rows: _floors(rows, k), "dim int, block long, floor array<long>, worst long"),
         "floors",
     )
-    rest = (
-        pairs.join(home, ["dim", "block", "data_block"], "left_anti")
-        .join(floors.select("dim", "block", "worst"), ["dim", "block"])
-        .where(F.col("reach") >= F.col("worst"))
-        .select("dim", "block", "data_block")
+    # descent: pairs of cells first, then the blocks of those that are left
+    known = asks.join(floors.select("dim", "block", "worst"), ["dim", "block"])
+    lowest = known.groupBy("dim", "cell").agg(F.min("worst").alias("worst"))
+    q, d = _cells(asks).join(lowest, ["dim", "cell"]).alias("q"), _cells(places).alias("d")
+    near = store.keep(
+        q.join(d, F.col("q.dim") == F.col("d.dim"))
+        .where(_reach("q", "d") >= F.col("q.worst"))
+        .select(F.col("q.dim").alias("dim"), F.col("q.cell").alias("cell"), F.col("d.cell").alias("data_cell")),
+        "near",
+    )
+    q = known.join(near, ["dim", "cell"]).alias("q")
+    rest = store.keep(
+        q.join(places.alias("d"), (F.col("q.dim") == F.col("d.dim")) & (F.col("q.data_cell") == F.col("d.cell")))
+        .where(_reach("q", "d") >= F.col("q.worst"))
+        .select(F.col("q.dim").alias("dim"), F.col("q.block").alias("block"), F.col("d.block").alias("data_block"))
+        .join(home, ["dim", "block", "data_block"], "left_anti"),
+        "rest",
     )
     found = first.unionByName(run(rest, floors)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.llm import covertree
+from marquee.llm import covertree, topk
 from marquee.llm.topk import top_k
 
 SCHEMA = "vec_id long, embedding array<double>, id string, score int, block int"
@@ -73,3 +73,50 @@ def test_an_id_with_many_vectors_takes_one_place(spark):
     df = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], SCHEMA)
     got = top_k(df, F.col("vec_id") % 2 == 0, k=5, pivots=4, block_rows=40, query_rows=16)
     assert sorted(map(tuple, got.collect())) == brute(rows, 5, lambda i: i % 2 == 0)
+
+
+def made_share(points, every, k):
+    ids = np.arange(len(points))
+    data, asked = covertree.build(ids, points), covertree.build(ids[::every], points[::every])
+    best = covertree.Best(len(asked.ids), k)
+    made = covertree.search(asked, data, best)
+    for n, i in enumerate(asked.ids):
+        scores = points @ points[i]
+        want = sorted((-int(s), j) for j, s in enumerate(scores) if j != i)[:k]
+        assert [(-int(s), int(j)) for s, j in zip(best.scores[n], best.ids[n], strict=True)] == want
+    return made / (len(asked.ids) * len(points))
+
+
+def test_products_are_left_out_where_vectors_lie_in_clusters():
+    """Unit vectors of 64 dimensions: in clusters most products are left out; where all directions
+    are alike no radius rules a node out, and all are made."""
+    r = np.random.default_rng(6)
+    middles = r.normal(size=(30, 64))
+    middles /= np.linalg.norm(middles, axis=1, keepdims=True)
+    near = middles[r.integers(0, 30, 3000)] + 0.02 * r.normal(size=(3000, 64))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    assert made_share(np.floor(256 * near).astype(np.int64), 50, 5) < 0.35
+    alike = r.normal(size=(1500, 64))
+    alike /= np.linalg.norm(alike, axis=1, keepdims=True)
+    assert made_share(np.floor(256 * alike).astype(np.int64), 50, 5) > 0.9
+
+
+def test_blocks_of_far_cells_are_not_paired(spark, monkeypatch):
+    """Block pairs are made only of cells whose balls reach the kth score."""
+    r = np.random.default_rng(8)
+    middles = 4 * np.eye(8)
+    rows = [(i, (middles[i % 8] + 0.05 * r.normal(size=8)).tolist()) for i in range(800)]
+    kept = {}
+    keep = topk.Store.keep
+
+    def spy(self, df, label):
+        kept[label] = keep(self, df, label)
+        return kept[label]
+
+    monkeypatch.setattr(topk.Store, "keep", spy)
+    df = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], SCHEMA)
+    got = top_k(df, F.col("vec_id") % 50 == 0, k=5, pivots=32, block_rows=40, query_rows=4)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 5, lambda i: i % 50 == 0)
+    cells = kept["data"].select("cell").distinct().count()
+    blocks, asked = kept["data"].count(), kept["queries"].count()
+    assert cells > 2 and kept["rest"].count() < blocks * asked / 2
