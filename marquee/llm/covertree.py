@@ -70,7 +70,9 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> Tree:
         own = order[begin:end].copy()
         nearest = np.linalg.norm(points[own] - points[centers[node]], axis=1)
         chosen, group = [centers[node]], np.zeros(len(own), np.int64)
-        while len(chosen) < FANOUT and nearest.max() > radii[node] / 2:
+        # children of about half a leaf at least, where radii do not fall
+        most = min(FANOUT, -(-2 * (end - begin) // LEAF))
+        while len(chosen) < most and nearest.max() > radii[node] / 2:
             far = int(own[np.argmax(nearest)])
             gaps = np.linalg.norm(points[own] - points[far], axis=1)
             closer = gaps < nearest
@@ -155,6 +157,7 @@ def search(queries: Tree, data: Tree, best: Best) -> int:
 
     points = queries.vectors.astype(np.float64)
     norms = np.linalg.norm(points, axis=1)
+    repeats = int(np.unique(data.ids, return_counts=True)[1].max())
 
     def reaches(rows: np.ndarray, d: int) -> np.ndarray:
         """The same bounds for each query of a leaf, whose radius is 0."""
@@ -178,7 +181,7 @@ def search(queries: Tree, data: Tree, best: Best) -> int:
         if not q_open and not d_open:
             if np.isfinite(bound):
                 own = own[reaches(own, d) >= best.scores[own, -1]]
-            _leaves(queries, data, left, right, own, slice(data.low[d], data.high[d]), best)
+            _leaves(queries, data, left, right, own, slice(data.low[d], data.high[d]), best, repeats)
             made += int(len(own) * (data.high[d] - data.low[d]))
             continue
         # open the wider node; the most promising pairs are looked at first
@@ -192,7 +195,7 @@ def search(queries: Tree, data: Tree, best: Best) -> int:
     return made
 
 
-def _leaves(queries, data, left, right, rows, columns, best) -> None:
+def _leaves(queries, data, left, right, rows, columns, best, repeats) -> None:
     if not len(rows):
         return
     scores = (left[rows] @ right[columns].T).astype(np.int64)
@@ -200,7 +203,7 @@ def _leaves(queries, data, left, right, rows, columns, best) -> None:
     k = best.scores.shape[1]
     floor = best.scores[rows, -1].copy()
     # the query itself may be among the first k + 1 ids, and each may have several vectors
-    first = (k + 1) * int(np.unique(ids, return_counts=True)[1].max())
+    first = (k + 1) * repeats
     if len(ids) > first:
         floor = np.maximum(floor, np.partition(scores, -first, axis=1)[:, -first])
     hit = (scores >= floor[:, None]) & (ids[None, :] != queries.ids[rows][:, None])
