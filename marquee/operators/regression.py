@@ -11,7 +11,6 @@ from pyspark.ml.feature import (
     IDF,
     HashingTF,
     MinMaxScaler,
-    OneHotEncoder,
     Tokenizer,
     VectorAssembler,
 )
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators import versions
+from marquee.operators.encoding import CategoryVectors
 from marquee.operators.labels import apply_index, fit_index, load_index, save_index
 from marquee.operators.metrics import errors
 from marquee.operators.nulls import apply_fill, fill_values
@@ -117,14 +117,9 @@ def numeric_stages(columns: Sequence[str], output: str) -> list:
     ]
 
 
-def category_stages(columns: Sequence[str], output: str) -> list:
-    """One-hot vectors of the numbers that `number_categories` gives."""
-    numbers = [f"{c}_number" for c in columns]
-    encoded = [f"{c}_encoded" for c in columns]
-    return [
-        OneHotEncoder(inputCols=numbers, outputCols=encoded),
-        VectorAssembler(inputCols=encoded, outputCol=output),
-    ]
+def category_stages(columns: Sequence[str], output: str, after: str | None = None) -> list:
+    """One-hot vectors of the numbers that `number_categories` gives, behind the vector `after`."""
+    return [CategoryVectors([f"{c}_number" for c in columns], output, after)]
 
 
 def feature_pipeline(settings: Settings) -> Pipeline:
@@ -133,12 +128,17 @@ def feature_pipeline(settings: Settings) -> Pipeline:
     for make, output, columns in (
         (text_stages, "text_features", settings.text),
         (numeric_stages, "number_features", settings.numeric),
-        (category_stages, "category_features", settings.category),
     ):
         if columns:
             stages += make(columns, output)
             inputs.append(output)
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
+    if not settings.category:
+        return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol="features")])
+    # The assembler names every entry of a vector, of which categories may have any number.
+    if inputs:
+        stages.append(VectorAssembler(inputCols=inputs, outputCol="plain_features"))
+    after = "plain_features" if inputs else None
+    return Pipeline(stages=[*stages, *category_stages(settings.category, "features", after)])
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, DataFrame]:

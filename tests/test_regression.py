@@ -4,7 +4,7 @@ from collections import Counter
 from statistics import pvariance
 
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, MinMaxScaler, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -169,3 +169,25 @@ def test_a_constant_model_explains_nothing(spark):
     grouped = constant.withColumn("g", F.col("id") % 2)
     assert not metrics.against_group_means(grouped, "g", "y", "p").first().better
     assert metrics.against_group_means(grouped.withColumn("p", F.col("y")), "g", "y", "p").first().better
+
+
+def test_many_categories_stay_out_of_the_schema(spark, tmp_path):
+    """The schema says how long the vectors are, whatever the number of categories; a vector that
+    comes before is kept, and the number after the last is a vector without a one."""
+    n = 200_000
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": n + 1, "name": "c_number"}}
+    rows = spark.createDataFrame([(0.0,), (n - 1.0,), (float(n),)], "c double")
+    rows = rows.select(F.col("c").alias("c_number", metadata=nominal), F.lit(2.0).alias("x"))
+    fitted = Pipeline(stages=regression.category_stages(["c"], "encoded")).fit(rows)
+    fitted.write().save(str(tmp_path / "stages"))
+    encoded = PipelineModel.load(str(tmp_path / "stages")).transform(rows)
+    assert len(encoded.schema.json()) < 2_000
+    assert fitted.stages[-1].categorySizes == [n + 1]
+    got = [(v.size, v.indices.tolist()) for (v,) in encoded.orderBy("c_number").select("encoded").collect()]
+    assert got == [(n, [0]), (n, [n - 1]), (n, [])]
+    stages = [VectorAssembler(inputCols=["x"], outputCol="v"), *regression.category_stages(["c"], "w", "v")]
+    both = Pipeline(stages=stages).fit(rows).transform(rows)
+    assert len(both.schema.json()) < 2_000
+    assert [v.indices.tolist() for (v,) in both.orderBy("c_number").select("w").collect()] == [[0, 1], [0, n], [0]]
+    with pytest.raises(Exception, match="no number"):
+        fitted.transform(rows.withColumn("c_number", F.lit(n + 1.0))).collect()
