@@ -36,6 +36,8 @@ from marquee.sources.sinks import log_metrics
 
 TERM_BUCKETS = 500
 TREES = 100
+# Rows of one task of fitting. Trees keep a number for each feature of each row, some kilobytes.
+FIT_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -185,7 +187,7 @@ def fit(df: DataFrame, name: str, settings: Settings = Settings()) -> Fitted:
         features = feature_pipeline(settings).fit(prepared)
         # The model reads its rows many times; words are cut and hashed once for all of them.
         vectors = features.transform(prepared).select("features", settings.label)
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        vectors = _in_pieces(vectors, rows, settings).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             model = make(settings).fit(vectors)
         finally:
@@ -195,6 +197,15 @@ def fit(df: DataFrame, name: str, settings: Settings = Settings()) -> Fitted:
     return Fitted(fill, features, model, indexes)
 
 
+def _in_pieces(vectors: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+    """The vectors of `rows` with about `FIT_ROWS` in a partition at most; few rows stay where they
+    are. Categories are joined, which may leave fewer partitions than the rows have."""
+    wanted, parts = rows.count() // FIT_ROWS + 1, rows.rdd.getNumPartitions()
+    if wanted > parts or (settings.category and wanted > 1):
+        return vectors.repartition(max(wanted, parts))
+    return vectors
+
+
 def score(df: DataFrame, fitted: Fitted, settings: Settings = Settings()) -> DataFrame:
     prepared = prepare(df, fitted.fill, settings, fitted.indexes)
     return fitted.model.transform(fitted.features.transform(prepared))

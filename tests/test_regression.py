@@ -191,3 +191,23 @@ def test_many_categories_stay_out_of_the_schema(spark, tmp_path):
     assert [v.indices.tolist() for (v,) in both.orderBy("c_number").select("w").collect()] == [[0, 1], [0, n], [0]]
     with pytest.raises(Exception, match="no number"):
         fitted.transform(rows.withColumn("c_number", F.lit(n + 1.0))).collect()
+
+
+def test_tasks_of_fitting_take_so_many_rows(spark, products, monkeypatch):
+    """Partitions of what a model is fitted on grow in number, not in size."""
+    seen = []
+
+    class Model:
+        def fit(self, vectors):
+            seen.append([n for (n,) in vectors.groupBy(F.spark_partition_id()).count().select("count").collect()])
+
+    monkeypatch.setitem(regression.MODELS, "gbt", ("gbt_model", lambda s: Model(), None))
+    monkeypatch.setattr(regression, "FIT_ROWS", 50)
+    rated = products.dropna(subset=["rating"]).count()
+    for category in ((), ("main_category", "store")):
+        regression.fit(products.coalesce(2), "gbt", dataclasses.replace(SMALL, category=category))
+        assert sum(seen[-1]) == rated and max(seen[-1]) <= 2 * 50
+    monkeypatch.undo()
+    monkeypatch.setitem(regression.MODELS, "gbt", ("gbt_model", lambda s: Model(), None))
+    regression.fit(products.coalesce(2), "gbt", SMALL)
+    assert len(seen[-1]) == 2
