@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import words
+from marquee.functions.text import byte_length, words
 from marquee.operators.joins import join_many_to_one
 from marquee.session import materialize
 
+# Bytes of the texts whose words one task counts: its counters take tens of times that.
+TASK_BYTES = 8 << 20
+
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf): how often each word occurs in each text."""
     # The texts are hashed by key before they are cut, which is less to move than their words; the
-    # counts then need no other exchange.
-    texts = df.select(key, text).repartition(key)
+    # counts then need no other exchange. The number of parts follows the bytes, so that a task's
+    # counters do not grow with the input.
+    size = df.agg(F.sum(byte_length(F.col(text)))).first()[0] or 0
+    parts = max(size // TASK_BYTES + 1, df.sparkSession.sparkContext.defaultParallelism)
+    texts = df.select(key, text).repartition(parts, key)
     terms = texts.select(key, F.explode(words(F.col(text))).alias("term"))
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 

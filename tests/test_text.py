@@ -4,6 +4,7 @@ from pyspark.ml.feature import Tokenizer
 from pyspark.sql import functions as F
 
 from marquee.functions import text
+from marquee.operators import terms
 
 TITLES = [
     ("After Life (2019– )", "After Life", "2019"),
@@ -53,3 +54,12 @@ def test_null_text_has_one_empty_word_and_no_bytes(spark):
     df = spark.createDataFrame([(None,), ("é",)], "t string")
     got = df.select(text.words(F.col("t")), text.byte_length(F.col("t"))).collect()
     assert [tuple(r) for r in got] == [([""], 0), (["é"], 2)]
+
+
+def test_parts_in_which_words_are_counted_follow_the_bytes(spark, monkeypatch):
+    """Small pieces of a shuffle are put together by their bytes, not by the words inside."""
+    docs = spark.range(400).select("id", F.lit("one two three four ").alias("text"))
+    monkeypatch.setattr(terms, "TASK_BYTES", 200)
+    counted = terms.term_counts(docs, "id", "text")
+    assert counted.groupBy(F.spark_partition_id()).count().count() > 20
+    assert counted.agg(F.sum("tf")).first()[0] == 1600
