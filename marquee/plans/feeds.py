@@ -146,13 +146,15 @@ def stream_once(spark, sf_dir):
     """,
 )
 def stream_buckets(spark, sf_dir):
-    """A topic written twice into a bucketed keyed table, whose runs are merged in between."""
+    """A topic written twice into a bucketed keyed table, whose runs are merged in between. It gets
+    buckets for all orders."""
     topic = scratch_path(spark, "topic")
+    count = buckets.bucket_count(table(spark, sf_dir, "orders").count())
     messages = topics.as_messages(_orders(spark, sf_dir).repartition(8))
     topics.publish_files(messages, topic, "mubi-sqlite")
     row_id = values.stable_id(F.lit("mubi-sqlite"), F.col("review_id"))
     rows = feeds.parse(topics.read_files(spark, topic, max_files_per_trigger=FILES), "mubi-sqlite", row_id)
-    keyed = buckets.KeyedTable(scratch_path(spark, "keyed"), rows.schema, buckets=8)
+    keyed = buckets.KeyedTable(scratch_path(spark, "keyed"), rows.schema, buckets=count)
     for _ in range(2):
         runs.finish(
             buckets.upsert_buckets(rows, keyed, scratch_path(spark, "progress"), interval=None)

@@ -26,6 +26,8 @@ from marquee.session import hadoop_path
 from marquee.sources.sinks import conform
 from marquee.streaming.runs import INTERVAL, each_batch, latest, visible
 
+#: Ids that a bucket should hold at most: its task sorts every stored row of them.
+BUCKET_IDS = 500_000
 _MANIFEST = "run string, tier int, buckets int"
 _turn = threading.RLock()
 
@@ -45,6 +47,11 @@ class KeyedTable:
     fan_in: int = 4
 
 
+def bucket_count(ids: int, least: int = 8) -> int:
+    """Buckets of a table that is to hold so many ids."""
+    return max(least, ids // BUCKET_IDS + 1)
+
+
 def _stored(spark: SparkSession, table: KeyedTable, runs: list[str]) -> DataFrame:
     """The rows of some runs, as a bucketed scan."""
     name = _catalog_name(spark, table)
