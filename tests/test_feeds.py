@@ -183,3 +183,47 @@ def test_a_repeated_run_replaces_its_metrics(spark, tmp_path):
     for run in ("a", "a", "b", None, None):
         evaluate(rows, "lr", metrics_path=log, run_id=run)
     assert sinks.read_metrics(spark, log).count() == 4
+
+
+@pytest.mark.parametrize("chunk", [1, 8, 1 << 20])
+def test_runs_are_merged_across_chunks(spark, chunk):
+    """Overlapping runs, some longer than many chunks, below zero and without a topic or partition."""
+    draw = random.Random(7)
+    landed, rows = {}, []
+    for place in (("t", 0), ("t", 1), (None, 0), ("t", None)):
+        for _ in range(40):
+            first = draw.randrange(-200, 600)
+            last = first + draw.choice([0, 0, 1, 5, 60])
+            rows.append((*place, first, last))
+            landed.setdefault(place, set()).update(range(first, last + 1))
+    merged = offsets.merge_runs(spark.createDataFrame(rows, offsets.RUNS), chunk)
+    want = [
+        (*place, first, next(o for o in range(first, 2000) if o + 1 not in all_))
+        for place, all_ in landed.items() for first in all_ if first - 1 not in all_
+    ]
+    assert sorted(map(str, map(tuple, merged.collect()))) == sorted(map(str, want))
+    gone = {place: set() for place in landed}
+    for row in offsets.missing_offsets(spark.createDataFrame(rows, offsets.RUNS), chunk).collect():
+        gone[row.topic, row.partition] |= set(range(row.first, row.last + 1))
+        assert row.n == row.last - row.first + 1
+    assert gone == {p: set(range(min(all_), max(all_))) - all_ for p, all_ in landed.items()}
+
+
+def test_no_task_takes_all_runs_of_a_partition(spark):
+    runs_ = spark.range(1000).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+        (F.col("id") * 3).alias("first"), (F.col("id") * 3 + 1).alias("last"),
+    )
+    inside = offsets._merged_inside(offsets._chunked(runs_, 64)).groupBy(F.spark_partition_id().alias("p"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert max(r["count"] for r in inside.count().collect()) < 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert offsets.missing_offsets(runs_, 64).count() == 999
+
+
+def test_buckets_follow_the_ids():
+    assert buckets.bucket_count(15_000) == 8
+    assert buckets.bucket_count(54_000_000) >= 54_000_000 / buckets.BUCKET_IDS
