@@ -24,6 +24,8 @@ from marquee.session import materialize
 # Items and users whose products one call computes.
 BLOCK_ITEMS = 2_048
 BLOCK_USERS = 2_048
+# Pieces for each core that the pairs of blocks of one round are dealt into.
+TASKS_PER_CORE = 4
 # Rounding may lower a bound by less than this part of it.
 MARGIN = 1e-9
 
@@ -64,6 +66,23 @@ def _user_blocks(active: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _pairs(parts: DataFrame, span: DataFrame, first: int, last: int, tasks: int) -> DataFrame:
+    """The user and item blocks (from `first`, before `last`) that can gain from each other, dealt
+    over about `tasks` pieces also where there are few item blocks."""
+    pairs = parts.withColumn("block", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
+    tops = span.select("block", "top")
+    pairs = join_many_to_one(pairs.select("part", "least", "block"), tops, "block")
+    # The first rounds have few blocks: copies of them, one for each slot, go to all tasks.
+    slots = max(1, tasks // (last - first))
+    slot = F.pmod(F.xxhash64("part"), F.lit(slots)).alias("slot")
+    pairs = pairs.where(F.col("top") >= F.col("least")).select("part", "block", slot)
+    pairs = pairs.repartition(tasks, "part", "block")
+    pairs = join_many_to_one(pairs, parts.withColumnRenamed("factors", "user_factors"), "part")
+    span = span.withColumnRenamed("factors", "item_factors")
+    span = span.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<bigint>")))
+    return join_many_to_one(pairs, span, ["block", "slot"])
+
+
 def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """For each pair of blocks the k best items of each user, and how many products that took.
 
@@ -89,12 +108,18 @@ def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                 if not width:
                     continue
                 scores = left[group] @ right[:width].T
-                for u, own in zip(group, scores, strict=True):
-                    own = own[: reach[u]]
-                    best = np.lexsort((ids[: len(own)], -own))[:k] if len(own) else []
-                    out_users.append(np.full(len(best), users[u]))
-                    out_items.append(ids[best])
-                    out_scores.append(own[best])
+                inside = np.arange(width) < reach[group][:, None]
+                value = np.where(inside & ~np.isnan(scores), scores, -np.inf)
+                if width > k:
+                    inside &= value >= np.partition(value, width - k, axis=1)[:, width - k, None]
+                row, place = np.nonzero(inside)
+                best = np.lexsort((ids[place], -value[row, place], row))
+                row, place = row[best], place[best]
+                first = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, place = row[first], place[first]
+                out_users.append(users[group][row])
+                out_items.append(ids[place])
+                out_scores.append(scores[row, place])
             if not out_users:
                 continue
             found = np.concatenate(out_users)
@@ -128,17 +153,13 @@ def top_products(
     empty = users.sparkSession.createDataFrame([], PAIR)
     best = empty
     first, size = 0, 1
+    tasks = TASKS_PER_CORE * users.sparkSession.sparkContext.defaultParallelism
     active = people.where("norm > 0").withColumn("need", F.lit(-1.0))
     while first < count and not active.isEmpty():
         last = min(first + size, count)
         parts = materialize(_user_blocks(active, block_users), "user-blocks")
         span = blocks.where(F.col("block").between(first, last - 1))
-        pairs = parts.withColumn("block", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
-        tops = span.select("block", "top")
-        pairs = join_many_to_one(pairs.select("part", "least", "block"), tops, "block")
-        pairs = pairs.where(F.col("top") >= F.col("least")).select("part", "block")
-        pairs = join_many_to_one(pairs, parts.withColumnRenamed("factors", "user_factors"), "part")
-        pairs = join_many_to_one(pairs, span.withColumnRenamed("factors", "item_factors"), "block")
+        pairs = _pairs(parts, span, first, last, tasks)
         # A row holds two blocks; so few rows are passed to Python at a time.
         needed = pairs.select("users", "needs", "user_factors", "ids", "norms", "item_factors")
         found = needed.mapInArrow(partial(_multiply, k=k), PAIR)

@@ -1,8 +1,10 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import recommend
+from marquee.operators import joins, products, recommend
 from marquee.operators.products import top_products
 
 SCHEMA = "id int, features array<float>"
@@ -68,3 +70,19 @@ def test_recommendations_are_those_of_the_library(spark, tmp_path):
     assert got.keys() == want.keys()
     for user, best in want.items():
         assert [x for _, x in got[user]] == pytest.approx([x for _, x in best], rel=1e-5)
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, -1])
+def test_a_round_of_one_block_is_spread_over_tasks(spark, monkeypatch, limit):
+    """All users meet the first item block; their products are not computed in the task of its key."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        users = spark.range(640).select("id", F.array(F.lit(1.0)).alias("features"), F.lit(-1.0).alias("need"))
+        parts = products.materialize(products._user_blocks(users, 10), "parts")
+        span = products.materialize(products.item_blocks(vectors(spark, [(1, [1.0]), (2, [0.5])]), 2), "span")
+        met = products._pairs(parts, span, 0, 1, 16)
+        tasks = Counter(row[0] for row in met.select(F.spark_partition_id()).collect())
+        assert sum(tasks.values()) == parts.count() and max(tasks.values()) <= sum(tasks.values()) / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
