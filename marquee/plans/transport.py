@@ -13,7 +13,7 @@ from marquee.functions import values
 from marquee.operators import joins, sets
 from marquee.plans.registry import query, table
 from marquee.schemas import REVIEW, UNIFIED_REVIEW
-from marquee.session import scratch_path
+from marquee.session import discard, scratch_path
 from marquee.sources import files, lines, sinks
 from marquee.sources.tables import spread
 from marquee.streaming import feeds, runs, topics
@@ -292,7 +292,8 @@ def stream_upsert(spark, sf_dir):
 
 @query("stream_index", _FEEDS_SQL)
 def stream_index(spark, sf_dir):
-    """All three topics streamed into one keyed table, each with its own checkpoint."""
+    """All three topics streamed into one keyed table, each with its own checkpoint. A topic goes once
+    it is drained."""
     keyed = scratch_path(spark, "keyed")
     schema = None
     for topic, rows in _FEED_ROWS.items():
@@ -300,6 +301,7 @@ def stream_index(spark, sf_dir):
         topics.publish_files(topics.as_messages(rows(spark, sf_dir)), path, topic)
         parsed = feeds.parse(topics.read_files(spark, path), topic)
         runs.finish(runs.upsert(parsed, keyed, scratch_path(spark, "progress"), interval=None))
+        discard(spark, path)
         schema = parsed.schema
     return _shown(runs.read_keyed(spark, keyed, schema))
 

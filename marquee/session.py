@@ -6,11 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
 _scratch_paths: list[str] = []
+_stored: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -95,7 +97,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     with freed_shuffles(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _stored[table] = path
+    return table
+
+
+def discard_table(table: DataFrame) -> None:
+    """Delete what `materialize` has written, once no later step reads it."""
+    discard(table.sparkSession, _stored.pop(table))
 
 
 def discard(spark: SparkSession, path: str) -> None:

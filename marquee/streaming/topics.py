@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.records import to_payload
 from marquee.schemas import ENVELOPE
-from marquee.session import path_exists
+from marquee.session import freed_shuffles, path_exists
 
 
 def kafka_source_options(
@@ -72,7 +72,8 @@ def publish_files(messages: DataFrame, path: str, topic: str) -> None:
         at.bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
-    stored.write.mode("append").parquet(path)
+    with freed_shuffles(spark):
+        stored.write.mode("append").option("compression", "zstd").parquet(path)
 
 
 def read_files(

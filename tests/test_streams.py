@@ -1,10 +1,11 @@
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from marquee.functions import values
+from marquee.plans import transport
 from marquee.schemas import REVIEW, UNIFIED_REVIEW
 from marquee import session as sessions
 from marquee.session import drop_scratch, materialize, path_exists, scratch_path, shared_folder
@@ -191,3 +192,35 @@ def test_scratch_is_dropped(spark, monkeypatch):
     assert kept.count() == 5 and path_exists(spark, path)
     drop_scratch(spark)
     assert not path_exists(spark, path) and sessions._scratch_paths == []
+
+
+@pytest.mark.parametrize("repeated", [0, 1, 9, 90])
+def test_ids_that_were_written_once_are_not_shuffled(spark, tmp_path, repeated):
+    """Whatever the part of ids that come again, the last row of each is there, one of those without
+    an id among them; without repeated ids reading exchanges nothing."""
+    table, schema = str(tmp_path / "keyed"), "id string, v int, _timestamp int, _offset int"
+    first = [(f"i{n}", n, 1, n) for n in range(100)] + [(None, -1, 1, 200)]
+    later = [(f"i{n}", n + 1000, 2, 0) for n in range(repeated)] + [(f"i{n}", 7, 1, -1) for n in range(repeated)]
+    later += [(None, -2, 3, 0)] * (repeated > 0)
+    for rows in (first, later):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(table)
+    got = runs.read_keyed(spark, table, spark.createDataFrame([], schema).schema)
+    want = [(f"i{n}", n + 1000 * (n < repeated)) for n in range(100)] + [(None, -1 - (repeated > 0))]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    plan = plan_of(got).split("Physical Plan")[1]
+    assert ("Exchange hashpartitioning" in plan) == (repeated > 0)
+
+
+def test_a_drained_topic_goes(spark, sf_dir, monkeypatch):
+    """What is on disk when a topic is published: no other topic."""
+    published, there = [], []
+
+    def publish(messages, path, topic):
+        there.extend(path_exists(spark, p) for p in published)
+        published.append(path)
+        write(messages, path, topic)
+
+    write = transport.topics.publish_files
+    monkeypatch.setattr(transport.topics, "publish_files", publish)
+    assert transport.stream_index(spark, sf_dir).count() > 0
+    assert len(there) == 3 and not any(there) and not path_exists(spark, published[-1])
