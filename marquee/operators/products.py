@@ -3,7 +3,7 @@
 Items are put in order of falling norm and cut into blocks. A user's product with an item is at most
 the product of their norms, so once a user's kth best score is above its norm times a block's
 largest norm, neither this block nor any later one holds a better item. Blocks are taken in rounds
-of doubling size; in each round only users that can still gain meet the blocks that they can gain
+of doubling size, up to a bound; in each round only users that can still gain meet the blocks that they can gain
 from, and inside a block only the items whose own norm may suffice are multiplied.
 """
 
@@ -19,13 +19,16 @@ from pyspark.sql import functions as F
 
 from marquee.operators.joins import join_many_to_one
 from marquee.operators.ordering import top_per_group, with_rank
-from marquee.session import materialize
+from marquee.session import discard_table, freed_shuffles, materialize
 
 # Items and users whose products one call computes.
 BLOCK_ITEMS = 2_048
 BLOCK_USERS = 2_048
 # Pieces for each core that the pairs of blocks of one round are dealt into.
 TASKS_PER_CORE = 4
+# Item blocks of one round, so that they can be sent to all tasks: a shuffle of pairs of blocks would
+# carry a block of users once for each block of items.
+ROUND_BLOCKS = 64
 # Rounding may lower a bound by less than this part of it.
 MARGIN = 1e-9
 
@@ -52,15 +55,19 @@ def item_blocks(items: DataFrame, size: int) -> DataFrame:
 
 
 def _user_blocks(active: DataFrame, size: int) -> DataFrame:
-    """(part, users, needs, factors): users with the norm that an item needs to be of use."""
+    """(part, users, needs, floors, least, factors): users with the norm and the score that an item
+    needs to be of use, and the least such norm."""
     parts = active.count() // size + 1
     part = F.pmod(F.xxhash64("id", F.lit("part")), F.lit(parts)).cast("int").alias("part")
-    cells = active.select(part, F.struct("id", "need", "features").alias("c")).groupBy("part")
+    if "floor" not in active.columns:
+        active = active.withColumn("floor", F.lit(float("-inf")))
+    cells = active.select(part, F.struct("id", "need", "floor", "features").alias("c")).groupBy("part")
     cells = cells.agg(F.sort_array(F.collect_list("c")).alias("c"))
     return cells.select(
         "part",
         F.col("c.id").alias("users"),
         F.col("c.need").alias("needs"),
+        F.col("c.floor").alias("floors"),
         F.array_min("c.need").alias("least"),
         F.flatten("c.features").alias("factors"),
     )
@@ -84,9 +91,10 @@ def _pairs(parts: DataFrame, span: DataFrame, first: int, last: int, tasks: int)
 
 
 def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """For each pair of blocks the k best items of each user, and how many products that took.
+    """For each pair of blocks the k best items of each user, as far as they reach the user's floor,
+    and how many products that took.
 
-    The number stands in the first row of a pair of blocks.
+    The number stands in the first row of a pair of blocks, which has no item where none is found.
     """
     for batch in batches:
         rows = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
@@ -94,7 +102,7 @@ def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             def take(name, kind, i=i):
                 return np.asarray(rows[name][i].values).astype(kind)
 
-            users, needs = take("users", np.int64), take("needs", float)
+            users, needs, floors = take("users", np.int64), take("needs", float), take("floors", float)
             ids, norms = take("ids", np.int64), take("norms", float)
             left = take("user_factors", float).reshape(len(users), -1)
             right = take("item_factors", float).reshape(len(ids), -1)
@@ -109,6 +117,8 @@ def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                     continue
                 scores = left[group] @ right[:width].T
                 inside = np.arange(width) < reach[group][:, None]
+                floor = floors[group][:, None]
+                inside &= (scores >= floor) | (floor == -np.inf)
                 value = np.where(inside & ~np.isnan(scores), scores, -np.inf)
                 if width > k:
                     inside &= value >= np.partition(value, width - k, axis=1)[:, width - k, None]
@@ -123,12 +133,12 @@ def _multiply(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             if not out_users:
                 continue
             found = np.concatenate(out_users)
-            multiplied = np.zeros(len(found), np.int64)
+            columns = [found, np.concatenate(out_items), np.concatenate(out_scores)]
+            nothing = not len(found)
+            multiplied = np.zeros(len(found) + nothing, np.int64)
             multiplied[:1] = int(reach.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found), pa.array(np.concatenate(out_items)), pa.array(np.concatenate(out_scores)), pa.array(multiplied)],
-                ["user", "item", "score", "multiplied"],
-            )
+            columns = [pa.array([x], pa.from_numpy_dtype(c.dtype)) if nothing else pa.array(c) for c, x in zip(columns, (users[0], None, None), strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(multiplied)], ["user", "item", "score", "multiplied"])
 
 
 def top_products(
@@ -147,36 +157,47 @@ def top_products(
     one row for each block, is collected or broadcast without a look at its size; a round reads only the users that it
     still concerns.
     """
+    with freed_shuffles(users.sparkSession):
+        return _top_products(users, items, k, block_items, block_users)
+
+
+def _top_products(users: DataFrame, items: DataFrame, k: int, block_items: int, block_users: int) -> DataFrame:
     blocks = materialize(item_blocks(items, block_items), "item-blocks")
     count = blocks.count()
     people = materialize(users.select("id", "features", _norm("features").alias("norm")), "users")
     empty = users.sparkSession.createDataFrame([], PAIR)
     best = empty
-    first, size = 0, 1
+    first, size, known = 0, 1, None
     tasks = TASKS_PER_CORE * users.sparkSession.sparkContext.defaultParallelism
     active = people.where("norm > 0").withColumn("need", F.lit(-1.0))
     while first < count and not active.isEmpty():
         last = min(first + size, count)
         parts = materialize(_user_blocks(active, block_users), "user-blocks")
+        if known is not None:
+            discard_table(known)
         span = blocks.where(F.col("block").between(first, last - 1))
         pairs = _pairs(parts, span, first, last, tasks)
         # A row holds two blocks; so few rows are passed to Python at a time.
-        needed = pairs.select("users", "needs", "user_factors", "ids", "norms", "item_factors")
+        needed = pairs.select("users", "needs", "floors", "user_factors", "ids", "norms", "item_factors")
         found = needed.mapInArrow(partial(_multiply, k=k), PAIR)
         counted = best.unionByName(found).withColumn("multiplied", F.sum("multiplied").over(Window.partitionBy("user")))
-        best = top_per_group(counted, ["user"], [F.desc("score"), F.asc("item")], k)
+        counted = counted.where("item IS NOT NULL")
+        older, best = best, top_per_group(counted, ["user"], [F.desc("score"), F.asc("item")], k)
         spent = F.when(F.col("rank") == 1, F.col("multiplied")).otherwise(0).alias("multiplied")
         best = materialize(best.select("user", "item", "score", spent), "best")
-        first, size = last, size * 2
+        for table in (parts, older) if first else (parts,):
+            discard_table(table)
+        first, size = last, min(size * 2, ROUND_BLOCKS)
         # A user with k scores needs an item of at least this norm; one without them needs any.
         kth = best.groupBy(F.col("user").alias("id")).agg(F.min("score").alias("kth"), F.count("*").alias("n"))
-        active = join_many_to_one(people.where("norm > 0"), kth, "id", "left", derived=True)
+        known = materialize(kth, "one")
+        active = join_many_to_one(people.where("norm > 0"), known, "id", "left")
         enough = F.coalesce("n", F.lit(0)) >= k
         need = F.when(enough, F.col("kth") / F.col("norm") * (1 - MARGIN)).otherwise(-1.0)
-        active = active.withColumn("need", need)
+        active = active.withColumns({"need": need, "floor": F.when(enough, F.col("kth")).otherwise(float("-inf"))})
         if first < count:
             ahead = blocks.where(F.col("block") == first).select("top").first().top
-            active = active.where(F.col("need") <= ahead).select("id", "features", "norm", "need")
+            active = active.where(F.col("need") <= ahead).select("id", "features", "norm", "need", "floor")
     # Every item is as good as any other to a user whose vector is zero.
     ids = [row.id for row in items.select("id").orderBy("id").limit(k).collect()]
     nothing = people.where("norm = 0").select(

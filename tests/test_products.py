@@ -86,3 +86,28 @@ def test_a_round_of_one_block_is_spread_over_tasks(spark, monkeypatch, limit):
         assert sum(tasks.values()) == parts.count() and max(tasks.values()) <= sum(tasks.values()) / 2
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_later_rounds_give_only_what_reaches_the_kth_score(spark, monkeypatch):
+    """All norms are alike, so every product is computed; of later blocks only those pairs are passed
+    on that are among a user's k best so far, and rounds are bounded."""
+    r = np.random.default_rng(8)
+    users, items = (r.normal(size=(n, 4)) for n in (40, 640))
+    items /= np.linalg.norm(items, axis=1)[:, None]
+    rows = [spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, features array<double>") for x in (users, items)]
+    spans, passed = [], []
+    pairs, stored = products._pairs, products.top_per_group
+    monkeypatch.setattr(products, "ROUND_BLOCKS", 4)
+    monkeypatch.setattr(products, "_pairs", lambda parts, span, first, last, tasks: spans.append(last - first) or pairs(parts, span, first, last, tasks))
+    monkeypatch.setattr(products, "top_per_group", lambda df, *rest: passed.append(df) or stored(df, *rest))
+    seen = []
+    keep = products.materialize
+    monkeypatch.setattr(products, "materialize", lambda df, label: (label == "best" and seen.append(passed[-1].count())) or keep(df, label))
+    found = products.top_products(*rows, 3, block_items=32, block_users=16).collect()
+    assert spans == [1, 2, 4, 4, 4, 4, 1]
+    # each round's rows: the three best so far, and of the new ones what reaches the third of them
+    assert max(seen) < 40 * 3 * 4 < 40 * 3 * 5
+    scores = users @ items.T
+    for u in range(40):
+        assert [x.item for x in sorted((x for x in found if x.user == u), key=lambda x: x.rank)] == np.argsort(-scores[u])[:3].tolist()
+    assert sum(x.multiplied for x in found) == 40 * 640
